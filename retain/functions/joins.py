@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     """True if the optimizer's size estimate is under the session's broadcast threshold."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    threshold = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(estimate)) <= threshold
 
@@ -22,7 +21,7 @@ def join_dimension(
     dim: DataFrame,
     on: str | Sequence[str],
     *,
-    spread_by: Sequence[str],
+    spread_by: Sequence[str] | Column,
     how: str = "left",
     salts: int = 64,
     hot_keys: int = 1000,
@@ -34,6 +33,8 @@ def join_dimension(
     spread over `salts` sub-keys by a hash of `spread_by`, and its one dimension row is
     repeated per sub-key. Fewer than `hot_keys` keys can pass that mark, whatever the data,
     so the list of them is safe to broadcast. Null keys match nothing and are spread too.
+    `spread_by` names columns that tell the facts apart, or is an integer column that does;
+    it must give a row the same value when a task is repeated.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(dim):
@@ -42,13 +43,12 @@ def join_dimension(
     counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
     hot = (
-        counts.crossJoin(F.broadcast(total))
-        .filter(F.col("_n") * F.lit(hot_keys) > F.col("_total"))
-        .dropna(subset=keys)
+        counts.filter(F.col("_n") * F.lit(hot_keys) > total.scalar()).dropna(subset=keys)
         .select(*keys, F.lit(True).alias("_hot"))
     )
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    sub_key = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    spread = spread_by if isinstance(spread_by, Column) else F.xxhash64(*spread_by)
+    sub_key = F.pmod(spread, F.lit(salts)).cast("int")
     spread_fact = fact.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(any_null | F.col("_hot"), sub_key).otherwise(F.lit(0))
     )

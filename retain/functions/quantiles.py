@@ -1,9 +1,10 @@
 """Exact interpolated quantiles without gathering a column in one task.
 
-`percentile` keeps every distinct value of a group in one map, which does not scale. Here a
-mergeable sketch first brackets each wanted rank; a second aggregation counts what lies
-between the brackets and keeps value counts only inside them. The ranks are then exact,
-because they come from counts and not from the sketch.
+`percentile` keeps every distinct value of a group in one map, which does not scale. Here
+three passes narrow each wanted rank down: a coarse mergeable sketch gives a value range
+around it; one aggregation counts the rows between the ranges and in equal-width bins inside
+them; a last one counts the values of the bins that hold a wanted rank. Ranks come from
+these exact counts alone, so a poor sketch can cost time but not change a result.
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MISSED = "quantile bracket missed its rank: raise `accuracy`"
+BINS = 1024
 
 
 def exact_quantiles(
@@ -23,99 +24,119 @@ def exact_quantiles(
     fractions: Sequence[float],
     *,
     by: Sequence[str] = (),
-    accuracy: int = 100_000,
+    accuracy: int = 1000,
 ) -> DataFrame:
     """Linear-interpolated quantiles of each column, nulls ignored.
 
     Returns one row (or one per group of the low-cardinality keys `by`) with an
     `array<double>` per column, in the order of `fractions`. A column without values gives
-    null. About `4 / accuracy` of the rows fall inside a bracket; only their distinct values
-    are ranked by sorting, everything else is counted.
+    null. `df` is read three times. The sketch of a task is a few kB; the bins of a column
+    are at most `BINS` rows per fraction; the values sorted at the end are those of single
+    bins, about 4 / (accuracy * BINS) of the rows.
     """
-    by = list(by)
-    fractions = list(fractions)
+    by, fractions = list(by), list(fractions)
     group = [*by, "_metric"]
-    long = df.select(
-        *by,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("_metric"), F.col(c).cast("double").alias("_x"))
-                    for c in columns
-                ]
-            )
-        ).alias("_e"),
-    ).select(*by, "_e.*").filter(F.col("_x").isNotNull())
+    cells = [F.struct(F.lit(c).alias("_metric"), F.col(c).cast("double").alias("_x")) for c in columns]
+    long = (
+        df.select(*by, F.explode(F.array(*cells)).alias("_e"))
+        .select(*by, "_e.*")
+        .filter(F.col("_x").isNotNull())
+    )
+    x = F.col("_x")
 
+    # Pass 1: a value range [low, high] around each fraction.
     margin = 2.0 / accuracy
     marks = [m for p in fractions for m in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    sketch = long.groupBy(*group).agg(
-        F.percentile_approx("_x", marks, accuracy).alias("_marks"),
-        F.count("_x").alias("_n"),
-    )
-
-    x = F.col("_x")
-    pairs = [
+    sketch = long.groupBy(*group).agg(F.percentile_approx("_x", marks, accuracy).alias("_marks"))
+    ranges = [
         (F.get("_marks", F.lit(2 * i)), F.get("_marks", F.lit(2 * i + 1)))
         for i in range(len(fractions))
     ]
-    inside = reduce(lambda a, b: a | b, [(x >= lo) & (x <= hi) for lo, hi in pairs])
-    passed = reduce(lambda a, b: a + b, [(x > hi).cast("int") for _, hi in pairs])
-    joined = _join_groups(long, sketch, group, nullable=bool(by))
-    counted = (
-        joined.groupBy(
+
+    # Pass 2: rows per bin, and rows per gap between ranges. Both are intervals of values,
+    # disjoint and in order, so running totals give the ranks each one holds.
+    bins = F.coalesce(
+        *[
+            F.when(
+                (x >= low) & (x <= high),
+                F.struct(
+                    F.lit(i).alias("range"),
+                    F.coalesce(
+                        F.least(F.floor(F.try_divide(x - low, high - low) * BINS), F.lit(BINS - 1)),
+                        F.lit(0),
+                    ).alias("bin"),
+                ),
+            )
+            for i, (low, high) in enumerate(ranges)
+        ]
+    )
+    passed = reduce(lambda a, b: a + b, [(x > high).cast("int") for _, high in ranges])
+    intervals = (
+        _attach(long, sketch, group)
+        .select(*group, "_x", bins.alias("_bin"), passed.alias("_passed"))
+        .groupBy(
             *group,
-            "_n",
-            F.when(inside, x).alias("_value"),
-            F.when(~inside, passed).alias("_gap"),
+            F.coalesce(F.col("_bin.range"), F.lit(-1)).alias("_range"),
+            F.coalesce(F.col("_bin.bin"), F.col("_passed")).alias("_slot"),
         )
-        .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
+    )
+    whole = Window.partitionBy(*group)
+    running = whole.orderBy("_low").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        intervals.withColumn("_end", F.sum("_rows").over(running))
+        .withColumn("_n", F.sum("_rows").over(whole))
+        .withColumn("_start", F.col("_end") - F.col("_rows"))
     )
-    order = Window.partitionBy(*group).orderBy("_lo")
-    ranked = counted.withColumn(
-        "_end", F.sum("_cnt").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_start", F.col("_end") - F.col("_cnt"))
-
-    def value_at(rank):
-        value = (
-            F.when(F.col("_value").isNotNull(), F.col("_value"))
-            .when(rank == F.col("_end") - 1, F.col("_hi"))
-            .when(rank == F.col("_start"), F.col("_lo"))
-            .otherwise(F.raise_error(F.lit(MISSED)).cast("double"))
-        )
-        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), value))
 
-    picks, results = [], []
+    def ranks(n: Column) -> Column:
+        position = [(n - 1) * F.lit(float(p)) for p in fractions]
+        both = [r for q in position for r in (F.floor(q), F.ceil(q))]
+        return F.array(*[F.struct(F.lit(i).alias("slot"), r.alias("rank")) for i, r in enumerate(both)])
+
+    held = F.filter(
+        ranks(F.col("_n")), lambda r: (r["rank"] >= F.col("_start")) & (r["rank"] < F.col("_end"))
+    )
+    targets = ranked.select(*group, "_n", "_low", "_high", "_start", F.explode(held).alias("_t"))
+    wanted = targets.groupBy(*group, "_n").agg(
+        F.collect_list(F.struct("_low", "_high", "_start", "_t.*")).alias("_wanted")
+    )
+
+    # Pass 3: the values of the intervals that hold a wanted rank.
+    matching = F.filter("_wanted", lambda w: (w["_low"] <= x) & (x <= w["_high"]))
+    values = (
+        _attach(long, wanted, group)
+        .withColumn("_match", matching)
+        .filter(F.size("_match") > 0)
+        .groupBy(*group, "_n", "_x", "_match")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*group, "_n", "_x", "_rows", F.explode("_match").alias("_t"))
+        .select(*group, "_n", "_x", "_rows", "_t.*")
+    )
+    inside = (
+        Window.partitionBy(*group, "slot").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    placed = values.withColumn("_end", F.col("_start") + F.sum("_rows").over(inside))
+    found = placed.filter(
+        (F.col("rank") < F.col("_end")) & (F.col("rank") >= F.col("_end") - F.col("_rows"))
+    )
+
+    results = []
     for i, p in enumerate(fractions):
-        position = (F.col("_n") - 1) * F.lit(float(p))
-        low = F.floor(position)
-        # A whole position needs no neighbour, which may lie outside the bracket.
-        high = F.ceil(position)
-        picks += [
-            value_at(low).alias(f"_a{i}"),
-            value_at(high).alias(f"_b{i}"),
-            F.max(position - low).alias(f"_w{i}"),
-        ]
-        a, b, w = F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_w{i}")
-        results.append(a + (b - a) * w)
-    arrays = ranked.groupBy(*group).agg(*picks).select(*group, F.array(*results).alias("_q"))
+        below = F.max(F.when(F.col("slot") == 2 * i, F.col("_x")))
+        above = F.max(F.when(F.col("slot") == 2 * i + 1, F.col("_x")))
+        position = (F.max("_n") - 1) * F.lit(float(p))
+        results.append(below + (above - below) * (position - F.floor(position)))
+    arrays = found.groupBy(*group).agg(F.array(*results).alias("_q"))
     return arrays.groupBy(*by).agg(
         *[F.max(F.when(F.col("_metric") == c, F.col("_q"))).alias(c) for c in columns]
     )
 
 
-def _join_groups(long: DataFrame, sketch: DataFrame, group: list[str], nullable: bool) -> DataFrame:
-    """Attach each group's marks; the sketch holds one short row per group and column."""
-    if not nullable:
-        return long.join(F.broadcast(sketch), group)
-    right = sketch.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group)], "_marks", "_n")
-    condition = reduce(
-        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group)]
+def _attach(long: DataFrame, small: DataFrame, group: list[str]) -> DataFrame:
+    """Put a group's row next to its values. `small` has one short row per group and column."""
+    renamed = {g: f"_k{i}" for i, g in enumerate(group)}
+    same = reduce(
+        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(k)) for g, k in renamed.items()]
     )
-    return long.join(F.broadcast(right), condition).drop(*[f"_k{i}" for i in range(len(group))])
-
-
-def attach_quantiles(df: DataFrame, quantiles: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Put the one-row result of `exact_quantiles` next to every row, under new names."""
-    row = quantiles.select(*[F.col(c).alias(n) for c, n in names.items()])
-    return df.crossJoin(F.broadcast(row))
+    return long.join(F.broadcast(small.withColumnsRenamed(renamed)), same).drop(*renamed.values())

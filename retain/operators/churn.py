@@ -13,24 +13,22 @@ from pyspark.sql import functions as F
 
 from retain.config import CATEGORICAL_FEATURES, DEFAULT, NUMERIC_FEATURES, TARGET, Config
 from retain.functions.numeric import ratio, round_half_even
-from retain.functions.quantiles import attach_quantiles, exact_quantiles
+from retain.functions.quantiles import exact_quantiles
+from retain.functions.rows import one_row
 from retain.session import materialize
 
 
 def label_encode(feat: DataFrame, columns: tuple[str, ...] = CATEGORICAL_FEATURES) -> DataFrame:
     """Replace each category by its position among the sorted distinct values, from 0.
 
-    Null counts as the text "nan". The sorted values of a column are one broadcast array, as
-    long as the column has categories, so rows are not shuffled by a frequent category.
+    Null counts as the text "nan". The sorted values of a column are one array, as long as
+    the column has categories, so rows are not shuffled by a frequent category.
     """
     present = [c for c in columns if c in feat.columns]
     text = {c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in present}
-    labels = feat.agg(*[F.array_sort(F.collect_set(text[c])).alias(f"_labels_{c}") for c in present])
-    codes = {
-        c: (F.array_position(F.col(f"_labels_{c}"), text[c]) - 1).cast("int") for c in present
-    }
-    return (
-        feat.crossJoin(F.broadcast(labels)).withColumns(codes).drop(*[f"_labels_{c}" for c in present])
+    labels = one_row(feat.agg(*[F.array_sort(F.collect_set(text[c])).alias(c) for c in present]))
+    return feat.withColumns(
+        {c: (F.array_position(labels.getField(c), text[c]) - 1).cast("int") for c in present}
     )
 
 
@@ -43,11 +41,9 @@ def fill_medians(feat: DataFrame, columns: tuple[str, ...] = NUMERIC_FEATURES) -
     needed = [c for c in present if gaps[c]]
     if not needed:
         return numeric
-    names = {c: f"_median_{c}" for c in needed}
-    return (
-        attach_quantiles(numeric, exact_quantiles(numeric, needed, [0.5]), names)
-        .withColumns({c: F.coalesce(F.col(c), F.get(F.col(n), F.lit(0))) for c, n in names.items()})
-        .drop(*names.values())
+    medians = one_row(exact_quantiles(numeric, needed, [0.5]))
+    return numeric.withColumns(
+        {c: F.coalesce(F.col(c), F.get(medians.getField(c), F.lit(0))) for c in needed}
     )
 
 
@@ -87,12 +83,9 @@ def stratified_split(
 def class_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
     """Balanced weights n / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("customers"))
-    total = counts.agg(F.sum("customers").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        label,
-        "customers",
-        round_half_even(ratio(F.col("_n"), F.col("_k") * F.col("customers")), 6).alias("weight"),
-    )
+    total = one_row(counts.agg(F.sum("customers").alias("n"), F.count(F.lit(1)).alias("k")))
+    balanced = ratio(total.getField("n"), total.getField("k") * F.col("customers"))
+    return counts.select(label, "customers", round_half_even(balanced, 6).alias("weight"))
 
 
 @dataclass(frozen=True)

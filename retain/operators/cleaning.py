@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from retain.config import DEFAULT, Config
 from retain.functions.numeric import clip, round_half_even
-from retain.functions.quantiles import attach_quantiles, exact_quantiles
+from retain.functions.quantiles import exact_quantiles
+from retain.functions.rows import one_row
 from retain.sources.bundle import INGEST_ORDER, Bundle
 
 
@@ -56,13 +57,13 @@ def clip_columns(df: DataFrame, limits: dict[str, tuple]) -> DataFrame:
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Nulls become the exact interpolated median of their column."""
-    medians = exact_quantiles(df, columns, [0.5])
-    names = {c: f"_median_{c}" for c in columns}
-    filled = {
-        c: F.coalesce(F.col(c).cast("double"), F.get(F.col(n), F.lit(0)))
-        for c, n in names.items()
-    }
-    return attach_quantiles(df, medians, names).withColumns(filled).drop(*names.values())
+    medians = one_row(exact_quantiles(df, columns, [0.5]))
+    return df.withColumns(
+        {
+            c: F.coalesce(F.col(c).cast("double"), F.get(medians.getField(c), F.lit(0)))
+            for c in columns
+        }
+    )
 
 
 def iqr_fences(df: DataFrame, column: str, factor: float = DEFAULT.iqr_factor) -> DataFrame:
@@ -80,13 +81,9 @@ def iqr_fences(df: DataFrame, column: str, factor: float = DEFAULT.iqr_factor) -
 
 def cap_outliers(df: DataFrame, column: str, factor: float = DEFAULT.iqr_factor) -> DataFrame:
     """Values beyond the fences are set to the fence."""
-    fences = iqr_fences(df, column, factor).select("lower_fence", "upper_fence")
-    capped = clip(F.col(column), F.col("lower_fence"), F.col("upper_fence"))
-    return (
-        df.crossJoin(F.broadcast(fences))
-        .withColumn(column, capped)
-        .drop("lower_fence", "upper_fence")
-    )
+    fences = one_row(iqr_fences(df, column, factor))
+    capped = clip(F.col(column), fences.getField("lower_fence"), fences.getField("upper_fence"))
+    return df.withColumn(column, capped)
 
 
 def coerce_numeric(df: DataFrame, column: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retain.functions.numeric import ratio, round_half_even
+from retain.functions.rows import add_row
 
 
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
@@ -47,48 +48,52 @@ def classification_metrics(predictions: DataFrame) -> DataFrame:
     )
 
 
-def roc_auc(predictions: DataFrame, buckets: int = 4096) -> DataFrame:
+def roc_auc(predictions: DataFrame, width: int = 4096) -> DataFrame:
     """Area under the ROC curve: the chance that a positive outscores a negative, ties half.
 
-    Scores are counted per value first. The negatives below a value are those in lower
-    score buckets (a running total over at most `buckets` + 1 rows) plus those below it in
-    its own bucket, so no window spans all scores and no score is rounded.
+    Scores lie in [0, 1] and are counted per value first, so ties are one row. The negatives
+    below a score are a running total over three levels: blocks, the cells of a block, the
+    scores of a cell. Blocks and the cells of a block number at most `width` (+ 1), so no
+    window spans all scores, and no score is rounded.
     """
+    cell = F.floor(F.col("score") * (width * width))
     per_score = (
         predictions.groupBy("score")
         .agg(
             F.count_if(F.col("label") == 1).alias("pos"),
             F.count_if(F.col("label") == 0).alias("neg"),
         )
-        .withColumn("bucket", F.floor(F.col("score") * buckets))
+        .select("score", "pos", "neg", cell.alias("cell"))
     )
-    below = F.sum("neg").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    bases = (
-        per_score.groupBy("bucket")
-        .agg(F.sum("neg").alias("neg"))
-        .select("bucket", F.coalesce(below, F.lit(0)).alias("base"))
+    cells = per_score.groupBy("cell").agg(F.sum("neg").alias("cell_neg")).withColumn(
+        "block", F.floor(F.col("cell") / width)
     )
-    within = F.sum("neg").over(
-        Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = cells.groupBy("block").agg(F.sum("cell_neg").alias("block_neg"))
+
+    def before(column: str, window) -> Column:
+        total = F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(total, F.lit(0))
+
+    below_block = blocks.select("block", before("block_neg", Window.orderBy("block")).alias("below_block"))
+    in_block = Window.partitionBy("block").orderBy("cell")
+    below_cell = (
+        cells.join(F.broadcast(below_block), "block")
+        .withColumn("below_cell", F.col("below_block") + before("cell_neg", in_block))
+        .select("cell", "below_cell")
     )
-    wins = F.col("pos") * (F.col("base") + F.coalesce(F.col("inner"), F.lit(0)) + F.col("neg") / 2)
-    return (
-        per_score.withColumn("inner", within)
-        .join(F.broadcast(bases), "bucket")
-        .agg(
-            F.sum(wins.cast("decimal(28,1)")).alias("wins"),
-            F.sum("pos").alias("positives"),
-            F.sum("neg").alias("negatives"),
-        )
-        .select(
-            round_half_even(
-                ratio(F.col("wins"), F.col("positives").cast("double") * F.col("negatives")), 4
-            ).alias("roc_auc")
-        )
+    in_cell = Window.partitionBy("cell").orderBy("score")
+    ranked = per_score.join(below_cell, "cell").withColumn(
+        "below", F.col("below_cell") + before("neg", in_cell)
+    )
+    wins = (F.col("pos") * (F.col("below") + F.col("neg") / 2)).cast("decimal(28,1)")
+    totals = ranked.agg(
+        F.sum(wins).alias("wins"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
     )
+    pairs = F.col("positives").cast("double") * F.col("negatives")
+    return totals.select(round_half_even(ratio(F.col("wins"), pairs), 4).alias("roc_auc"))
 
 
 def evaluate_model(predictions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row with the five metrics, and the confusion matrix."""
-    metrics = classification_metrics(predictions).crossJoin(F.broadcast(roc_auc(predictions)))
+    metrics = add_row(classification_metrics(predictions), roc_auc(predictions))
     return metrics, confusion_matrix(predictions)

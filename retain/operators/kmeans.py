@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from retain.config import DEFAULT, Config
 from retain.functions.numeric import ratio, round_half_even
 from retain.functions.quantiles import exact_quantiles
+from retain.functions.rows import one_row
 from retain.session import materialize
 
 AXES = ("recency_days", "frequency", "monetary")
@@ -24,29 +25,30 @@ def kmeans_inputs(feat: DataFrame) -> DataFrame:
     filled = feat.select(
         "customer_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in AXES]
     )
-    longest = filled.agg(F.max("recency_days").alias("_longest"))
-    return filled.crossJoin(F.broadcast(longest)).select(
+    longest = filled.agg(F.max("recency_days")).scalar()
+    return filled.select(
         "customer_id",
-        F.log1p(F.col("_longest") - F.col("recency_days")).alias("recency_days"),
+        F.log1p(longest - F.col("recency_days")).alias("recency_days"),
         F.log1p("frequency").alias("frequency"),
         F.log1p("monetary").alias("monetary"),
     )
 
 
+def scaling_row(inputs: DataFrame) -> DataFrame:
+    return inputs.agg(
+        *[F.avg(c).alias(f"mean_{c}") for c in AXES],
+        *[F.stddev_pop(c).alias(f"sd_{c}") for c in AXES],
+    )
+
+
 def kmeans_scaled(inputs: DataFrame) -> DataFrame:
     """Mean 0 and population standard deviation 1 per axis; a constant axis is only centred."""
-    stats = inputs.agg(
-        *[F.avg(c).alias(f"_mean_{c}") for c in AXES],
-        *[F.stddev_pop(c).alias(f"_sd_{c}") for c in AXES],
-    )
-    scaled = [
-        F.coalesce(
-            ratio(F.col(c) - F.col(f"_mean_{c}"), F.col(f"_sd_{c}")),
-            F.col(c) - F.col(f"_mean_{c}"),
-        ).alias(c)
-        for c in AXES
-    ]
-    return inputs.crossJoin(F.broadcast(stats)).select("customer_id", *scaled)
+    stats = one_row(scaling_row(inputs))
+    scaled = []
+    for c in AXES:
+        centred = F.col(c) - stats.getField(f"mean_{c}")
+        scaled.append(F.coalesce(ratio(centred, stats.getField(f"sd_{c}")), centred).alias(c))
+    return inputs.select("customer_id", *scaled)
 
 
 def kmeans_segmentation(
@@ -58,10 +60,6 @@ def kmeans_segmentation(
     cache, and only the k centres come back to the driver. The restart with the lowest cost wins.
     """
     inputs = kmeans_inputs(feat)
-    scaling = inputs.agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in AXES],
-        *[F.stddev_pop(c).alias(f"sd_{c}") for c in AXES],
-    )
     scaled = materialize(kmeans_scaled(inputs), "kmeans")
     points = VectorAssembler(inputCols=list(AXES), outputCol="features").transform(scaled)
     points.persist(StorageLevel.MEMORY_AND_DISK)
@@ -79,7 +77,7 @@ def kmeans_segmentation(
     clustered = feat.join(clusters, "customer_id")
     names = cluster_names(kmeans_profile(clustered)).select("kmeans_cluster", "kmeans_segment")
     # At most k rows.
-    return clustered.join(F.broadcast(names), "kmeans_cluster", "left"), model, scaling
+    return clustered.join(F.broadcast(names), "kmeans_cluster", "left"), model, scaling_row(inputs)
 
 
 def kmeans_profile(clustered: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retain.config import DEFAULT, Config
 from retain.functions.numeric import ratio, round_half_even, sum_money
+from retain.functions.rows import add_row
 from retain.operators.features import completed_orders
 from retain.operators.retention import avg_retention
 from retain.operators.revenue import category_sales, mom_growth
@@ -33,8 +36,7 @@ def kpis(segmented: DataFrame, orders: DataFrame, reviews: DataFrame, config: Co
         ).alias("revenue_at_risk"),
     )
     stars = reviews.agg(round_half_even(F.avg("rating"), 4).alias("avg_rating"))
-    # Every part is one row.
-    return sales.crossJoin(F.broadcast(base)).crossJoin(F.broadcast(stars))
+    return add_row(add_row(sales, base), stars)
 
 
 def kpi_targets(segmented: DataFrame, orders: DataFrame, reviews: DataFrame, config: Config = DEFAULT) -> DataFrame:
@@ -46,11 +48,7 @@ def kpi_targets(segmented: DataFrame, orders: DataFrame, reviews: DataFrame, con
         .agg(F.max("growth_pct").alias("revenue_growth_pct"))
     )
     retention = avg_retention(orders, config).select("avg_retention_rate")
-    row = (
-        kpis(segmented, orders, reviews, config)
-        .crossJoin(F.broadcast(growth))
-        .crossJoin(F.broadcast(retention))
-    )
+    row = add_row(add_row(kpis(segmented, orders, reviews, config), growth), retention)
     # KPI, direction and target.
     targets = [
         ("revenue_growth_pct", ">=", 5.0),
@@ -147,11 +145,7 @@ def insights(
         first(by_category, "purchases", "category", "top_category_by_purchases"),
         first(by_category, "revenue", "category", "top_category_by_revenue"),
     ]
-    row = revenue
-    for part in parts:
-        # Every part is one row; the left join keeps the rest if a part is empty.
-        row = row.join(F.broadcast(part), F.lit(True), "left")
-    return row
+    return reduce(add_row, parts, revenue)
 
 
 def insight_sentences(findings: DataFrame, metrics: dict[str, float] | None = None) -> DataFrame:

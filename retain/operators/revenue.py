@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retain.config import DEFAULT, Config
 from retain.functions.dates import month_label, month_start
 from retain.functions.numeric import ratio, round_half_even, sum_money
+from retain.functions.rows import add_row
 from retain.operators.features import completed_orders
 from retain.operators.statistics import pearson
 
@@ -191,7 +192,7 @@ def revenue_discount_corr(lines: DataFrame, config: Config = DEFAULT) -> DataFra
         )
     )
     overall = done.agg(round_half_even(pearson("discount", "total_amount"), 4).alias("correlation"))
-    return per_discount.crossJoin(F.broadcast(overall)).orderBy("discount")
+    return add_row(per_discount, overall).orderBy("discount")
 
 
 def stock_vs_demand(lines: DataFrame, products: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retain.functions.numeric import clip, ratio, round_half_even, sum_money
-from retain.functions.quantiles import attach_quantiles, exact_quantiles
+from retain.functions.quantiles import exact_quantiles
+from retain.functions.rows import one_row
 
 QUINTILES = (0.2, 0.4, 0.6, 0.8)
 
@@ -60,21 +61,16 @@ def rfm_edges(feat: DataFrame) -> DataFrame:
 def rfm_scores(feat: DataFrame) -> DataFrame:
     """Adds R, F and M scores from 1 to 5 and their sum.
 
-    The edges are one broadcast row, so scoring needs no sort of the customers. `feat` is
-    read three times: give it a materialized table when it is costly.
+    The edges are one row, so scoring needs no sort of the customers. `feat` is read four
+    times: give it a materialized table when it is costly.
     """
-    names = {column: f"_edges_{column}" for column, _ in SCORES.values()}
-    scored = attach_quantiles(feat, rfm_edges(feat), names)
-    return (
-        scored.withColumns(
-            {
-                score: score_from_edges(F.col(column), F.col(names[column]), descending)
-                for score, (column, descending) in SCORES.items()
-            }
-        )
-        .withColumn("RFM_score", F.col("R_score") + F.col("F_score") + F.col("M_score"))
-        .drop(*names.values())
-    )
+    edges = one_row(rfm_edges(feat))
+    return feat.withColumns(
+        {
+            score: score_from_edges(F.col(column), edges.getField(column), descending)
+            for score, (column, descending) in SCORES.items()
+        }
+    ).withColumn("RFM_score", F.col("R_score") + F.col("F_score") + F.col("M_score"))
 
 
 def rfm_segmentation(feat: DataFrame) -> DataFrame:
@@ -90,16 +86,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("customers"))
     )
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return (
-        counts.crossJoin(F.broadcast(total))
-        .select(
-            column,
-            "customers",
-            round_half_even(ratio(F.col("customers"), F.col("_total")) * 100, 4).alias("pct"),
-        )
-        .orderBy(F.desc("customers"), column)
-    )
+    total = df.agg(F.count(F.lit(1))).scalar()
+    share = round_half_even(ratio(F.col("customers"), total) * 100, 4)
+    return counts.select(column, "customers", share.alias("pct")).orderBy(F.desc("customers"), column)
 
 
 def clv_by_segment(segmented: DataFrame, active_only: bool = False) -> DataFrame:

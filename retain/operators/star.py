@@ -51,7 +51,7 @@ def star_fact(
     return (
         facts.transform(join_dimension, buyer, "customer_id", spread_by=ids)
         .transform(join_dimension, item, "product_id", spread_by=ids)
-        .join(paid, "order_id", "left")
+        .transform(join_dimension, paid, "order_id", spread_by=ids)
         .withColumns({"year": F.year("order_date"), "year_month": month_label(F.col("order_date"))})
         .select(
             *ids, "order_date", "year", "year_month", "customer_id", "customer_segment", "state",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from retain.config import DEFAULT, HEATMAP_COLUMNS, NUMERIC_FEATURES, TARGET, Config
 from retain.functions.numeric import ratio, round_half_even
 from retain.functions.quantiles import exact_quantiles
+from retain.functions.rows import add_row, one_row
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -34,7 +35,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     entries = [F.struct(f"{c}.*", F.col(f"_q_{c}").alias("q")) for c in columns]
     return (
-        stats.crossJoin(F.broadcast(quartiles))
+        add_row(stats, quartiles)
         .select(F.explode(F.array(*entries)).alias("e"))
         .select("e.*")
         .select(
@@ -58,19 +59,17 @@ def histogram(df: DataFrame, column: str, bins: int, cap_at: float | None = None
         cap = exact_quantiles(values, ["_x"], [cap_at]).select(
             round_half_even(F.get("_x", F.lit(0)), 6).alias("_cap")
         )
-        values = values.crossJoin(F.broadcast(cap)).select(F.least("_x", "_cap").alias("_x"))
+        values = values.select(F.least(F.col("_x"), cap.scalar()).alias("_x"))
     span = values.agg(F.min("_x").alias("_min"), F.max("_x").alias("_max"))
     flat = F.col("_min") == F.col("_max")
     span = span.select(
         F.when(flat, F.col("_min") - 0.5).otherwise(F.col("_min")).alias("_from"),
         F.when(flat, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("_to"),
     ).withColumn("_width", (F.col("_to") - F.col("_from")) / bins)
-    bin_of = F.least(F.floor((F.col("_x") - F.col("_from")) / F.col("_width")), F.lit(bins - 1))
-    counts = (
-        values.crossJoin(F.broadcast(span))
-        .groupBy(bin_of.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    scale = one_row(span)
+    offset = (F.col("_x") - scale.getField("_from")) / scale.getField("_width")
+    bin_of = F.least(F.floor(offset), F.lit(bins - 1)).cast("int")
+    counts = values.select(bin_of.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     edges = span.select(
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_from", "_width"
     )

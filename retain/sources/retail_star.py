@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retain.functions.joins import join_dimension
 from retain.sources.bundle import INGEST_ORDER, Bundle
 
 SNAPSHOT = dt.date(2001, 8, 1)
@@ -90,7 +91,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus",
         "o_orderpriority",
     )
-    return lines.join(heads, "l_orderkey").select(
+    # Lines have no unique id; their position in the scan is the same in every attempt.
+    position = F.monotonically_increasing_id()
+    return join_dimension(lines, heads, "l_orderkey", spread_by=position, how="inner").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
         F.col("o_custkey").alias("customer_id"),
@@ -147,12 +150,11 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _table(spark, sf_dir, "events")
         .filter(F.col("event_type") == "view")
-        .crossJoin(F.broadcast(parts))
         .select(
             key.alias("review_id"),
             key.alias("order_id"),
             F.col("user_id").alias("customer_id"),
-            (key % F.col("_parts")).alias("product_id"),
+            (key % parts.scalar()).alias("product_id"),
             (key % 8).cast("int").alias("rating"),
             F.when(~_every("event_id", 20), F.col("event_type")).alias("review_text"),
             F.col("ts").cast("date").alias("review_date"),
