@@ -30,7 +30,7 @@ def exact_quantiles(
 
     Returns one row (or one per group of the low-cardinality keys `by`) with an
     `array<double>` per column, in the order of `fractions`. A column without values gives
-    null. `df` is read three times. The sketch of a task is a few kB; the bins of a column
+    null, or no row if it is the only one. `df` is read three times. The sketch of a task is a few kB; the bins of a column
     are at most `BINS` rows per fraction; the values sorted at the end are those of single
     bins, about 4 / (accuracy * BINS) of the rows.
     """
@@ -112,6 +112,8 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(*group, "_n", "_x", "_rows", F.explode("_match").alias("_t"))
         .select(*group, "_n", "_x", "_rows", "_t.*")
+        # Few rows are left, so all steps to the end share one partitioning.
+        .repartition(*group)
     )
     inside = (
         Window.partitionBy(*group, "slot").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
@@ -128,6 +130,8 @@ def exact_quantiles(
         position = (F.max("_n") - 1) * F.lit(float(p))
         results.append(below + (above - below) * (position - F.floor(position)))
     arrays = found.groupBy(*group).agg(F.array(*results).alias("_q"))
+    if len(columns) == 1:
+        return arrays.select(*by, F.col("_q").alias(columns[0]))
     return arrays.groupBy(*by).agg(
         *[F.max(F.when(F.col("_metric") == c, F.col("_q"))).alias(c) for c in columns]
     )

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def one_row(df: DataFrame) -> Column:
-    """A one-row frame as a struct column for any other frame; null if it has no row.
+def with_row(df: DataFrame, name: str, other: DataFrame) -> DataFrame:
+    """`df` with the one-row frame `other` as a struct column; null if it has no row.
 
     This is a scalar subquery: no join, and a plan that does not use the value does not
-    compute it.
+    compute it. Fields are read from the column, so that the subquery is planned once.
     """
-    return df.select(F.struct(*df.columns)).scalar()
+    return df.withColumn(name, other.select(F.struct(*other.columns)).scalar())
 
 
 def add_row(df: DataFrame, other: DataFrame) -> DataFrame:
     """`df` with the columns of the one-row frame `other`."""
-    row = one_row(other)
-    return df.withColumns({c: row.getField(c) for c in other.columns})
+    return with_row(df, "_row", other).select("*", "_row.*").drop("_row")

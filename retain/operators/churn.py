@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from retain.config import CATEGORICAL_FEATURES, DEFAULT, NUMERIC_FEATURES, TARGET, Config
 from retain.functions.numeric import ratio, round_half_even
 from retain.functions.quantiles import exact_quantiles
-from retain.functions.rows import one_row
+from retain.functions.rows import add_row, with_row
 from retain.session import materialize
 
 
@@ -26,9 +26,11 @@ def label_encode(feat: DataFrame, columns: tuple[str, ...] = CATEGORICAL_FEATURE
     """
     present = [c for c in columns if c in feat.columns]
     text = {c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in present}
-    labels = one_row(feat.agg(*[F.array_sort(F.collect_set(text[c])).alias(c) for c in present]))
-    return feat.withColumns(
-        {c: (F.array_position(labels.getField(c), text[c]) - 1).cast("int") for c in present}
+    labels = feat.agg(*[F.array_sort(F.collect_set(text[c])).alias(c) for c in present])
+    return (
+        with_row(feat, "_labels", labels)
+        .withColumns({c: (F.array_position(f"_labels.{c}", text[c]) - 1).cast("int") for c in present})
+        .drop("_labels")
     )
 
 
@@ -41,10 +43,10 @@ def fill_medians(feat: DataFrame, columns: tuple[str, ...] = NUMERIC_FEATURES) -
     needed = [c for c in present if gaps[c]]
     if not needed:
         return numeric
-    medians = one_row(exact_quantiles(numeric, needed, [0.5]))
-    return numeric.withColumns(
-        {c: F.coalesce(F.col(c), F.get(medians.getField(c), F.lit(0))) for c in needed}
-    )
+    with_medians = with_row(numeric, "_medians", exact_quantiles(numeric, needed, [0.5]))
+    return with_medians.withColumns(
+        {c: F.coalesce(F.col(c), F.get(f"_medians.{c}", F.lit(0))) for c in needed}
+    ).drop("_medians")
 
 
 def prepare_features(feat: DataFrame, exclude_leaky: bool = False) -> tuple[DataFrame, list[str]]:
@@ -83,9 +85,11 @@ def stratified_split(
 def class_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
     """Balanced weights n / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("customers"))
-    total = one_row(counts.agg(F.sum("customers").alias("n"), F.count(F.lit(1)).alias("k")))
-    balanced = ratio(total.getField("n"), total.getField("k") * F.col("customers"))
-    return counts.select(label, "customers", round_half_even(balanced, 6).alias("weight"))
+    total = counts.agg(F.sum("customers").alias("_n"), F.count(F.lit(1)).alias("_k"))
+    balanced = ratio(F.col("_n"), F.col("_k") * F.col("customers"))
+    return add_row(counts, total).select(
+        label, "customers", round_half_even(balanced, 6).alias("weight")
+    )
 
 
 @dataclass(frozen=True)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from retain.config import DEFAULT, Config
 from retain.functions.numeric import clip, round_half_even
 from retain.functions.quantiles import exact_quantiles
-from retain.functions.rows import one_row
+from retain.functions.rows import with_row
 from retain.sources.bundle import INGEST_ORDER, Bundle
 
 
@@ -57,13 +57,13 @@ def clip_columns(df: DataFrame, limits: dict[str, tuple]) -> DataFrame:
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Nulls become the exact interpolated median of their column."""
-    medians = one_row(exact_quantiles(df, columns, [0.5]))
-    return df.withColumns(
+    with_medians = with_row(df, "_medians", exact_quantiles(df, columns, [0.5]))
+    return with_medians.withColumns(
         {
-            c: F.coalesce(F.col(c).cast("double"), F.get(medians.getField(c), F.lit(0)))
+            c: F.coalesce(F.col(c).cast("double"), F.get(f"_medians.{c}", F.lit(0)))
             for c in columns
         }
-    )
+    ).drop("_medians")
 
 
 def iqr_fences(df: DataFrame, column: str, factor: float = DEFAULT.iqr_factor) -> DataFrame:
@@ -81,9 +81,10 @@ def iqr_fences(df: DataFrame, column: str, factor: float = DEFAULT.iqr_factor) -
 
 def cap_outliers(df: DataFrame, column: str, factor: float = DEFAULT.iqr_factor) -> DataFrame:
     """Values beyond the fences are set to the fence."""
-    fences = one_row(iqr_fences(df, column, factor))
-    capped = clip(F.col(column), fences.getField("lower_fence"), fences.getField("upper_fence"))
-    return df.withColumn(column, capped)
+    capped = clip(F.col(column), F.col("_iqr.lower_fence"), F.col("_iqr.upper_fence"))
+    return (
+        with_row(df, "_iqr", iqr_fences(df, column, factor)).withColumn(column, capped).drop("_iqr")
+    )
 
 
 def coerce_numeric(df: DataFrame, column: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from retain.config import DEFAULT, Config
 from retain.functions.numeric import ratio, round_half_even
 from retain.functions.quantiles import exact_quantiles
-from retain.functions.rows import one_row
+from retain.functions.rows import with_row
 from retain.session import materialize
 
 AXES = ("recency_days", "frequency", "monetary")
@@ -43,12 +43,11 @@ def scaling_row(inputs: DataFrame) -> DataFrame:
 
 def kmeans_scaled(inputs: DataFrame) -> DataFrame:
     """Mean 0 and population standard deviation 1 per axis; a constant axis is only centred."""
-    stats = one_row(scaling_row(inputs))
     scaled = []
     for c in AXES:
-        centred = F.col(c) - stats.getField(f"mean_{c}")
-        scaled.append(F.coalesce(ratio(centred, stats.getField(f"sd_{c}")), centred).alias(c))
-    return inputs.select("customer_id", *scaled)
+        centred = F.col(c) - F.col(f"_scale.mean_{c}")
+        scaled.append(F.coalesce(ratio(centred, F.col(f"_scale.sd_{c}")), centred).alias(c))
+    return with_row(inputs, "_scale", scaling_row(inputs)).select("customer_id", *scaled)
 
 
 def kmeans_segmentation(

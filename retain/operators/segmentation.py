@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retain.functions.numeric import clip, ratio, round_half_even, sum_money
 from retain.functions.quantiles import exact_quantiles
-from retain.functions.rows import one_row
+from retain.functions.rows import with_row
 
 QUINTILES = (0.2, 0.4, 0.6, 0.8)
 
@@ -64,13 +64,16 @@ def rfm_scores(feat: DataFrame) -> DataFrame:
     The edges are one row, so scoring needs no sort of the customers. `feat` is read four
     times: give it a materialized table when it is costly.
     """
-    edges = one_row(rfm_edges(feat))
-    return feat.withColumns(
-        {
-            score: score_from_edges(F.col(column), edges.getField(column), descending)
-            for score, (column, descending) in SCORES.items()
-        }
-    ).withColumn("RFM_score", F.col("R_score") + F.col("F_score") + F.col("M_score"))
+    scores = {
+        score: score_from_edges(F.col(column), F.col(f"_edges.{column}"), descending)
+        for score, (column, descending) in SCORES.items()
+    }
+    return (
+        with_row(feat, "_edges", rfm_edges(feat))
+        .withColumns(scores)
+        .withColumn("RFM_score", F.col("R_score") + F.col("F_score") + F.col("M_score"))
+        .drop("_edges")
+    )
 
 
 def rfm_segmentation(feat: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from retain.config import DEFAULT, HEATMAP_COLUMNS, NUMERIC_FEATURES, TARGET, Config
 from retain.functions.numeric import ratio, round_half_even
 from retain.functions.quantiles import exact_quantiles
-from retain.functions.rows import add_row, one_row
+from retain.functions.rows import add_row, with_row
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -66,10 +66,14 @@ def histogram(df: DataFrame, column: str, bins: int, cap_at: float | None = None
         F.when(flat, F.col("_min") - 0.5).otherwise(F.col("_min")).alias("_from"),
         F.when(flat, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("_to"),
     ).withColumn("_width", (F.col("_to") - F.col("_from")) / bins)
-    scale = one_row(span)
-    offset = (F.col("_x") - scale.getField("_from")) / scale.getField("_width")
+    offset = (F.col("_x") - F.col("_span._from")) / F.col("_span._width")
     bin_of = F.least(F.floor(offset), F.lit(bins - 1)).cast("int")
-    counts = values.select(bin_of.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = (
+        with_row(values, "_span", span)
+        .select(bin_of.alias("bin"))
+        .groupBy("bin")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     edges = span.select(
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_from", "_width"
     )
