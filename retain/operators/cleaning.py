@@ -13,6 +13,7 @@ from retain.config import DEFAULT, Config
 from retain.functions.numeric import clip, round_half_even
 from retain.functions.quantiles import exact_quantiles
 from retain.functions.rows import with_row
+from retain.session import materialize
 from retain.sources.bundle import INGEST_ORDER, Bundle
 
 
@@ -34,8 +35,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | Non
     if order_by is None:
         order_by = [INGEST_ORDER] if INGEST_ORDER in df.columns else []
     order = [*order_by, *[c for c in rest if c not in order_by]]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(first).select(*keys, "_row.*").select(*df.columns)
+    first = F.min(F.struct(*order)).alias("_row")
+    return df.groupBy(*keys).agg(first).select(
+        *[F.col(c if c in keys else f"_row.{c}").alias(c) for c in df.columns]
+    )
 
 
 def drop_null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -92,9 +95,15 @@ def coerce_numeric(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).try_cast("double"))
 
 
-def clean_customers(df: DataFrame) -> DataFrame:
-    """The median age is taken before rows without a registration date are dropped."""
+def clean_customers(df: DataFrame, staged: bool = False) -> DataFrame:
+    """The median age is taken before rows without a registration date are dropped.
+
+    `staged` writes the de-duplicated rows to the shared folder, so that the passes for the
+    median read one column instead of grouping the rows again.
+    """
     one_per_key = keep_first(df, ["customer_id"]).drop(INGEST_ORDER)
+    if staged:
+        one_per_key = materialize(one_per_key, "customers")
     imputed = impute_median(one_per_key, ["age"])
     return (
         clip_columns(imputed, {"age": (18, 90), "loyalty_points": (0, None)})
@@ -105,13 +114,21 @@ def clean_customers(df: DataFrame) -> DataFrame:
 
 
 def clean_orders(
-    df: DataFrame, keys: Sequence[str] = ("order_id",), config: Config = DEFAULT
+    df: DataFrame,
+    keys: Sequence[str] = ("order_id",),
+    config: Config = DEFAULT,
+    staged: bool = False,
 ) -> DataFrame:
-    """Orders, or order lines with `keys=("order_id", "line_no")`."""
+    """Orders, or order lines with `keys=("order_id", "line_no")`.
+
+    `staged` writes the de-duplicated rows to the shared folder, so that the passes for the
+    fences read one column instead of grouping the rows again.
+    """
+    one_per_key = keep_first(df, keys).drop(INGEST_ORDER)
+    if staged:
+        one_per_key = materialize(one_per_key, "orders")
     limited = (
-        keep_first(df, keys)
-        .drop(INGEST_ORDER)
-        .transform(drop_null_rows, ["order_id", "customer_id", "product_id", "order_date"])
+        one_per_key.transform(drop_null_rows, ["order_id", "customer_id", "product_id", "order_date"])
         .transform(
             clip_columns,
             {
@@ -157,20 +174,18 @@ def clean_reviews(df: DataFrame) -> DataFrame:
     )
 
 
-CLEANERS = {
-    "customers": clean_customers,
-    "orders": clean_orders,
-    "products": clean_products,
-    "payments": clean_payments,
-    "reviews": clean_reviews,
-}
-
-
-def clean_all(bundle: Bundle) -> Bundle:
-    cleaned = bundle.map(lambda name, df: CLEANERS[name](df))
+def clean_all(bundle: Bundle, staged: bool = False) -> Bundle:
+    cleaned = Bundle(
+        customers=clean_customers(bundle.customers, staged),
+        orders=clean_orders(bundle.orders, staged=staged),
+        products=clean_products(bundle.products),
+        payments=clean_payments(bundle.payments),
+        reviews=clean_reviews(bundle.reviews),
+    )
     if bundle.order_lines is None:
         return cleaned
-    return replace(cleaned, order_lines=clean_orders(bundle.order_lines, ("order_id", "line_no")))
+    lines = clean_orders(bundle.order_lines, ("order_id", "line_no"), staged=staged)
+    return replace(cleaned, order_lines=lines)
 
 
 def cleaning_summary(raw: Bundle, cleaned: Bundle) -> DataFrame:

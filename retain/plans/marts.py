@@ -102,7 +102,7 @@ def run_analysis(raw: Bundle, config: Config = DEFAULT) -> Analysis:
     The cleaned tables and the feature table are written once to the shared folder; results
     are lazy frames over them.
     """
-    clean = stage(clean_all(raw), "clean")
+    clean = stage(clean_all(raw, staged=True), "clean")
     features = materialize(
         build_customer_features(
             clean.customers, clean.orders, clean.products, clean.reviews, clean.order_lines, config
