@@ -25,6 +25,7 @@ def join_dimension(
     how: str = "left",
     salts: int = 64,
     hot_keys: int = 1000,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join `fact` to `dim` (unique on `on`) without sending a hot key to one task.
 
@@ -34,13 +35,14 @@ def join_dimension(
     repeated per sub-key. Fewer than `hot_keys` keys can pass that mark, whatever the data,
     so the list of them is safe to broadcast. Null keys match nothing and are spread too.
     `spread_by` names columns that tell the facts apart, or is an integer column that does;
-    it must give a row the same value when a task is repeated.
+    it must give a row the same value when a task is repeated. `count_in` is the frame to
+    count keys in: in a chain of joins the facts before the first one, to keep the plan flat.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(dim):
         return fact.join(dim, keys, how)
 
-    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = (fact if count_in is None else count_in).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
     hot = (
         counts.filter(F.col("_n") * F.lit(hot_keys) > total.scalar()).dropna(subset=keys)

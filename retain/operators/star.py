@@ -48,11 +48,11 @@ def star_fact(
     ).select("order_id", "payment_method", "payment_status")
     buyer = customers.select("customer_id", "customer_segment", "state")
     item = products.select("product_id", "product_name", "category")
+    joined = facts
+    for dimension, key in ((buyer, "customer_id"), (item, "product_id"), (paid, "order_id")):
+        joined = join_dimension(joined, dimension, key, spread_by=ids, count_in=facts)
     return (
-        facts.transform(join_dimension, buyer, "customer_id", spread_by=ids)
-        .transform(join_dimension, item, "product_id", spread_by=ids)
-        .transform(join_dimension, paid, "order_id", spread_by=ids)
-        .withColumns({"year": F.year("order_date"), "year_month": month_label(F.col("order_date"))})
+        joined.withColumns({"year": F.year("order_date"), "year_month": month_label(F.col("order_date"))})
         .select(
             *ids, "order_date", "year", "year_month", "customer_id", "customer_segment", "state",
             "product_id", "product_name", "category", "payment_method", "payment_status",
