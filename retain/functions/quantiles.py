@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 1024
@@ -34,102 +34,81 @@ def exact_quantiles(
     are at most `BINS` rows per fraction; the values sorted at the end are those of single
     bins, about 4 / (accuracy * BINS) of the rows.
     """
-    by, fractions = list(by), list(fractions)
-    group = [*by, "_metric"]
-    cells = [F.struct(F.lit(c).alias("_metric"), F.col(c).cast("double").alias("_x")) for c in columns]
+    by, group = list(by), [*by, "_metric"]
+    positions = [f"(_n - 1) * {float(p)!r}D" for p in fractions]
+    cells = ", ".join(f"struct('{c}' AS _metric, CAST(`{c}` AS DOUBLE) AS _x)" for c in columns)
     long = (
-        df.select(*by, F.explode(F.array(*cells)).alias("_e"))
+        df.select(*by, F.expr(f"explode(array({cells}))").alias("_e"))
         .select(*by, "_e.*")
-        .filter(F.col("_x").isNotNull())
+        .filter("_x IS NOT NULL")
     )
-    x = F.col("_x")
 
     # Pass 1: a value range [low, high] around each fraction.
     margin = 2.0 / accuracy
     marks = [m for p in fractions for m in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketch = long.groupBy(*group).agg(F.percentile_approx("_x", marks, accuracy).alias("_marks"))
-    ranges = [
-        (F.get("_marks", F.lit(2 * i)), F.get("_marks", F.lit(2 * i + 1)))
-        for i in range(len(fractions))
-    ]
+    ranges = [(f"_marks[{2 * i}]", f"_marks[{2 * i + 1}]") for i in range(len(positions))]
 
     # Pass 2: rows per bin, and rows per gap between ranges. Both are intervals of values,
     # disjoint and in order, so running totals give the ranks each one holds.
-    bins = F.coalesce(
-        *[
-            F.when(
-                (x >= low) & (x <= high),
-                F.struct(
-                    F.lit(i).alias("range"),
-                    F.coalesce(
-                        F.least(F.floor(F.try_divide(x - low, high - low) * BINS), F.lit(BINS - 1)),
-                        F.lit(0),
-                    ).alias("bin"),
-                ),
-            )
-            for i, (low, high) in enumerate(ranges)
-        ]
-    )
-    passed = reduce(lambda a, b: a + b, [(x > high).cast("int") for _, high in ranges])
-    intervals = (
-        _attach(long, sketch, group)
-        .select(*group, "_x", bins.alias("_bin"), passed.alias("_passed"))
-        .groupBy(
-            *group,
-            F.coalesce(F.col("_bin.range"), F.lit(-1)).alias("_range"),
-            F.coalesce(F.col("_bin.bin"), F.col("_passed")).alias("_slot"),
-        )
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
-    )
+    bins = [
+        f"WHEN _x BETWEEN {low} AND {high} THEN struct({i} AS range, CAST(coalesce(least("
+        f"floor(try_divide(_x - {low}, {high} - {low}) * {BINS}), {BINS - 1}), 0) AS INT) AS bin)"
+        for i, (low, high) in enumerate(ranges)
+    ]
+    passed = " + ".join(f"CAST(_x > {high} AS INT)" for _, high in ranges)
+    interval = f"CASE {' '.join(bins)} ELSE struct(-1 AS range, {passed} AS bin) END"
     whole = Window.partitionBy(*group)
     running = whole.orderBy("_low").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        intervals.withColumn("_end", F.sum("_rows").over(running))
-        .withColumn("_n", F.sum("_rows").over(whole))
-        .withColumn("_start", F.col("_end") - F.col("_rows"))
+        _attach(long, sketch, group)
+        .select(*group, "_x", F.expr(interval).alias("_interval"))
+        .groupBy(*group, "_interval")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
+        .select(
+            *group, "_low", "_high", "_rows",
+            F.sum("_rows").over(running).alias("_end"),
+            F.sum("_rows").over(whole).alias("_n"),
+        )
     )
-
-    def ranks(n: Column) -> Column:
-        position = [(n - 1) * F.lit(float(p)) for p in fractions]
-        both = [r for q in position for r in (F.floor(q), F.ceil(q))]
-        return F.array(*[F.struct(F.lit(i).alias("slot"), r.alias("rank")) for i, r in enumerate(both)])
-
-    held = F.filter(
-        ranks(F.col("_n")), lambda r: (r["rank"] >= F.col("_start")) & (r["rank"] < F.col("_end"))
+    ranks = ", ".join(
+        f"struct({2 * i} AS slot, floor({q}) AS rank), struct({2 * i + 1} AS slot, ceil({q}) AS rank)"
+        for i, q in enumerate(positions)
     )
-    targets = ranked.select(*group, "_n", "_low", "_high", "_start", F.explode(held).alias("_t"))
-    wanted = targets.groupBy(*group, "_n").agg(
-        F.collect_list(F.struct("_low", "_high", "_start", "_t.*")).alias("_wanted")
+    held = f"filter(array({ranks}), r -> r.rank >= _end - _rows AND r.rank < _end)"
+    wanted = (
+        ranked.select(
+            *group, "_n", "_low", "_high", F.expr("_end - _rows").alias("_start"),
+            F.expr(f"explode({held})").alias("_t"),
+        )
+        .groupBy(*group, "_n")
+        .agg(F.expr("collect_list(struct(_low, _high, _start, _t.slot, _t.rank))").alias("_wanted"))
     )
 
     # Pass 3: the values of the intervals that hold a wanted rank.
-    matching = F.filter("_wanted", lambda w: (w["_low"] <= x) & (x <= w["_high"]))
-    values = (
+    inside = Window.partitionBy(*group, "slot").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
         _attach(long, wanted, group)
-        .withColumn("_match", matching)
-        .filter(F.size("_match") > 0)
+        .select(
+            *group, "_n", "_x",
+            F.expr("filter(_wanted, w -> _x BETWEEN w._low AND w._high)").alias("_match"),
+        )
+        .filter("size(_match) > 0")
         .groupBy(*group, "_n", "_x", "_match")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*group, "_n", "_x", "_rows", F.explode("_match").alias("_t"))
-        .select(*group, "_n", "_x", "_rows", "_t.*")
+        .select(*group, "_n", "_x", "_rows", F.inline("_match"))
         # Few rows are left, so all steps to the end share one partitioning.
         .repartition(*group)
+        .withColumn("_end", F.col("_start") + F.sum("_rows").over(inside))
+        .filter("rank < _end AND rank >= _end - _rows")
     )
-    inside = (
-        Window.partitionBy(*group, "slot").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    placed = values.withColumn("_end", F.col("_start") + F.sum("_rows").over(inside))
-    found = placed.filter(
-        (F.col("rank") < F.col("_end")) & (F.col("rank") >= F.col("_end") - F.col("_rows"))
-    )
-
     results = []
-    for i, p in enumerate(fractions):
-        below = F.max(F.when(F.col("slot") == 2 * i, F.col("_x")))
-        above = F.max(F.when(F.col("slot") == 2 * i + 1, F.col("_x")))
-        position = (F.max("_n") - 1) * F.lit(float(p))
-        results.append(below + (above - below) * (position - F.floor(position)))
-    arrays = found.groupBy(*group).agg(F.array(*results).alias("_q"))
+    for i, q in enumerate(positions):
+        low = f"max(CASE WHEN slot = {2 * i} THEN _x END)"
+        high = f"max(CASE WHEN slot = {2 * i + 1} THEN _x END)"
+        share = q.replace("_n", "max(_n)")
+        results.append(f"{low} + ({high} - {low}) * ({share} - floor({share}))")
+    arrays = found.groupBy(*group).agg(F.expr(f"array({', '.join(results)})").alias("_q"))
     if len(columns) == 1:
         return arrays.select(*by, F.col("_q").alias(columns[0]))
     return arrays.groupBy(*by).agg(
