@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retain.llm import exact_dedup, mixing, sharding
-from retain.llm.common import read
+from retain.llm import chat, decontam, exact_dedup, langid, mixing, neardup, packing, pii, sharding, warc
+from retain.llm.common import materialize, read, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,6 +19,18 @@ def query(fn):
     return fn
 
 
+@query
+def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(read(spark, sf_dir, "documents"))
+
+
+@query
+def op2_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written matrices, read back: one row per sequence with the digest of its ids."""
+    written = materialize(packing.pack(read(spark, sf_dir, "documents")), "packed")
+    return written.withColumn("ids_sha256", F.sha2("input_ids", 256)).drop("input_ids")
+
+
 @query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
@@ -26,11 +38,37 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.copies")
 
 
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(read(spark, sf_dir, "pages"), shared_path(spark, "warc"))
+    return warc.report(warc.read(spark, files))
+
+
+@query
+def op5_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_collapse_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op7_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
 
 
+@query
+def op9_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), n_shards=8)
@@ -76,3 +114,55 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM n
 """
+
+ORACLE["op4_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+)
+SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest,
+       CASE WHEN strlen(body) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(body) >= 100 AND page_id <> first THEN first END AS refers_to
+FROM p
+"""
+
+ORACLE["op6_collapse_chats"] = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations
+), l AS (
+  SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns,
+         string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), ''
+                    ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS rendered
+  FROM t GROUP BY conv_id
+), f AS (
+  SELECT turns, min(conv_id) AS conv_id, count(*) AS copies, min(rendered) AS rendered FROM l GROUP BY turns
+), p AS (
+  SELECT DISTINCT list_slice(turns, 1, k) AS pre FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM l)
+)
+SELECT conv_id, len(turns) AS n_turns, copies, rendered FROM f WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pre = f.turns)
+"""
+
+ORACLE["op9_wu_manber"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, i, i + least(10, len(w)) - 1) AS win
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, l.n, i, list_slice(w, i, i + l.n - 1) AS win
+  FROM (SELECT d.doc_id, d.w, l.n, unnest(range(1, len(w) - l.n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) l WHERE len(w) >= l.n) l
+), h AS (
+  SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win
+), hw AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM h) GROUP BY doc_id
+), hi AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
+"""

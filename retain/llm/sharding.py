@@ -55,7 +55,7 @@ def slim_rows(docs: DataFrame, dims: dict[str, Column]) -> DataFrame:
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     return docs.select(
         "doc_id", byte_size(F.col("text")).alias("size"), crc.alias("text_crc32"),
-        F.array(*[d.cast("double") for d in dims.values()]).alias("dims"),
+        F.array(*[d.cast("double") for d in dims.values()]).alias("dims"), F.lit(0).alias("cell"),
     )
 
 
@@ -142,7 +142,7 @@ def shard(
     if n_shards is None:
         total = slim.agg(F.sum("size")).first()[0] or 0
         n_shards = max(1, -(-total // (target_bytes or 1 << 30)))
-    placed = coordinates(slim, n_dims).withColumn("cell", F.lit(0))
+    placed = coordinates(slim, n_dims)
     parts = {0: n_shards}
     while level := cuts(placed, parts, n_dims, tolerance):
         placed = place(placed, level, n_dims)
