@@ -29,6 +29,7 @@ SETTINGS = {
     f"{STATE}.rocksdb.boundedMemoryUsage": "true",
     f"{STATE}.rocksdb.maxMemoryUsageMB": "256",
     f"{STATE}.rocksdb.writeBufferSizeMB": "8",
+    f"{STATE}.rocksdb.allowFAllocate": "false",  # many small stores: do not reserve disk ahead
 }
 
 
