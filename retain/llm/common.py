@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 
 from retain.session import materialize, shared_path
 
-__all__ = ["attach", "cell_offsets", "fresh", "materialize", "read", "shared_path", "unit_hash"]
+__all__ = ["attach", "cell_offsets", "fresh", "materialize", "read", "shared_path", "ship", "unit_hash"]
 
 #: ASCII white space, as the query contracts define it.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -23,6 +26,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Have the session's Python workers import this package, wherever the session was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_retain_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "retain_package"), "zip", root, "retain"))
+    sc._retain_shipped = True
+
+
 def fresh(df: DataFrame, label: str) -> str:
     """A column name that `df` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -8,10 +8,11 @@ all registers by maximum likelihood, given both set sizes, and pairs that are no
 the threshold are verified on their full sets.
 
 Documents with the same word sequence are one class from the start. Within a bucket no pairs
-are listed: members are tested against one pivot, links are contracted to components, and only
-members that are still in different components of a bucket are tested further, against new
-pivots, until none is left. So a bucket of mutual copies costs one test per member, and no
-link that a band shows is lost.
+are listed: members are tested against one pivot, links are contracted to components, and a
+bucket stays open only while it holds different components. After three pivots, what is still
+open is tested in blocks: all pairs of a bucket's members with those outside its largest
+component, by matrix products of bounded size that return only connecting links. So a bucket of
+mutual copies costs one test per member, and no link that a band shows is lost.
 
 Defined cases: null, empty and white-space texts have no shingles, link with nothing and are
 their own component; texts of fewer than three words are one shingle; the
@@ -40,6 +41,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 SLACK = 5.0  # standard errors below the threshold at which an estimate is ruled out
 PIVOT_ROUNDS = 3
+BLOCK_ROWS, BLOCK_WORDS = 512, 200_000  # of a bucket's members that a task holds of either side
+COLUMNS = 4096
 
 _MULTIPLY = seeds(REGISTERS, 77) | np.uint64(1)
 SKETCH = "digest binary, n bigint, registers binary"
@@ -201,6 +204,62 @@ def similar(percent: int):
     return test
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each left set shares with each right set, by products of 0/1 matrices."""
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float32)
+    sides = []
+    for sets in (left, right):
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        value = np.concatenate(sets)
+        column = np.searchsorted(both, value)
+        held = both[np.minimum(column, len(both) - 1)] == value if len(both) else np.zeros(len(value), bool)
+        order = np.argsort(column[held], kind="stable")
+        sides.append((row[held][order], column[held][order], len(sets)))
+    for at in range(0, len(both), COLUMNS):
+        parts = []
+        for row, column, n in sides:
+            a, b = np.searchsorted(column, [at, at + COLUMNS])
+            part = np.zeros((n, min(COLUMNS, len(both) - at)), np.float32)
+            part[row[a:b], column[a:b] - at] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def linked_rows(percent: int):
+    """A function for the rows of two blocks: links between rows of different components."""
+
+    def test(block: pa.Table) -> pa.Table:
+        few = np.array(block.column("few").to_pylist(), bool)
+        cls, comp = block.column("cls").to_numpy(), block.column("comp").to_numpy()
+        sets = []
+        for words in word_runs(block.column("text").combine_chunks(), SPACED):
+            elements, offsets = shingle_sets(words)
+            sets += np.split(elements, offsets[1:-1])
+        links, root = [], {}
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        x, y = np.flatnonzero(few), np.flatnonzero(~few)
+        if len(x) and len(y):
+            size = np.array([len(s) for s in sets])
+            both = common_counts([sets[i] for i in x], [sets[i] for i in y])
+            either = size[x][:, None] + size[y][None, :] - both
+            similar = (both > 0) & (100 * both.astype(np.float64) >= percent * either) & (comp[x][:, None] != comp[y][None, :])
+            for i, j in zip(*np.nonzero(similar)):
+                a, b = top(int(comp[x[i]])), top(int(comp[y[j]]))
+                if a != b:
+                    root[a] = b
+                    links.append((int(cls[x[i]]), int(cls[y[j]])))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return test
+
+
 # Links and components -------------------------------------------------------------------
 
 
@@ -248,55 +307,60 @@ class Finder:
         return found.filter(digest(F.col("text")) == F.col("own")).groupBy("cls").agg(F.max("text").alias("text"))
 
     def components(self) -> DataFrame:
-        """(cls, comp) of all classes that share a bucket."""
+        """(cls, comp) of all classes that share a bucket.
+
+        In a round every open bucket tests one pivot against its members of other components.
+        Then all pairs with the pivot are known and it leaves the bucket; a bucket is open
+        while it holds more than one component.
+        """
         nodes = self.members.select("cls").distinct()
         comp = materialize(nodes.withColumn("comp", F.col("cls")), "comp")
         order = [F.col("cls"), -F.col("cls"), F.xxhash64("cls")]
+        open_ = materialize(unresolved(self.members, comp), "open")
         for turn in range(PIVOT_ROUNDS):
-            open_ = self.unresolved(comp)
+            if open_.isEmpty():
+                return comp
             pivots = open_.groupBy("key").agg(F.min(F.struct(order[turn].alias("by"), "cls", "comp")).alias("p"))
-            pairs = (
-                open_.join(pivots, "key").filter(F.col("comp") != F.col("p.comp"))
-                .select(F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")).distinct()
+            seen = open_.join(pivots, "key").filter(F.col("cls") != F.col("p.cls"))
+            pairs = seen.filter(F.col("comp") != F.col("p.comp")).select(
+                F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")
             )
-            comp, changed = self.joined(comp, pairs, f"pivot{turn}")
-            if not changed:
-                break
-        while True:
-            comp, changed = self.joined(comp, self.rest(comp), "rest")
-            if not changed:
-                return comp
-
-    def unresolved(self, comp: DataFrame) -> DataFrame:
-        """The members of buckets that hold more than one component."""
-        placed = self.members.join(comp, "cls")
-        split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
-        return placed.join(split.select("key"), "key")
+            comp = self.joined(comp, self.links(pairs.distinct(), f"pivot{turn}"))
+            open_ = materialize(unresolved(seen.select("key", "cls", "n"), comp), "open")
+        return comp if open_.isEmpty() else self.joined(comp, self.rest(open_))
 
-    def rest(self, comp: DataFrame) -> DataFrame:
-        """All pairs of a bucket that could still join components.
+    def rest(self, open_: DataFrame) -> DataFrame:
+        """Links that connect the components of what is still open, by testing all its pairs.
 
-        Every pair of different components has a side outside the bucket's largest one, so
-        only those members are paired, with the bucket's others.
+        Every pair of different components has a side outside the bucket's largest one. Those
+        members are dealt into blocks, and all members too; a task tests one block against
+        another, both of bounded size, and returns no more links than connect its rows.
         """
-        open_ = materialize(self.unresolved(comp), "open")
-        sizes = open_.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("held"))
-        largest = sizes.groupBy("key").agg(F.max(F.struct("held", "comp"))["comp"].alias("largest"))
-        few = open_.join(largest, "key").filter("comp != largest").select(
-            "key", F.col("cls").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a")
+        per = open_.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("words"))
+        buckets = per.groupBy("key").agg(
+            F.max(F.struct("held", "comp"))["comp"].alias("largest"),
+            F.greatest(F.ceil(F.sum("held") / BLOCK_ROWS), F.ceil(F.sum("words") / BLOCK_WORDS)).cast("int").alias("blocks"),
         )
-        fits = F.lit(100) * F.least("n", "n_a") >= F.lit(self.percent) * F.greatest("n", "n_a")
-        found = open_.join(few, "key").filter((F.col("comp") != F.col("comp_a")) & fits)
-        return found.select(F.least("cls", "a").alias("a"), F.greatest("cls", "a").alias("b")).distinct()
-
-    def joined(self, comp: DataFrame, pairs: DataFrame, label: str) -> tuple[DataFrame, bool]:
-        links = self.links(pairs, label)
-        if links.isEmpty():
-            return comp, False
+        placed = open_.join(buckets, "key").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        few = placed.filter("comp != largest").select("key", "cls", "comp", F.lit(True).alias("few"), F.col("own").alias("i"), every.alias("j"))
+        all_ = placed.select("key", "cls", "comp", F.lit(False).alias("few"), every.alias("i"), F.col("own").alias("j"))
+        texts = materialize(self.texts(open_.select("cls").distinct()), "rest-texts")
+        blocks = few.unionByName(all_).join(texts, "cls")
+        return blocks.groupBy("key", "i", "j").applyInArrow(linked_rows(self.percent), "a long, b long")
+
+    def joined(self, comp: DataFrame, links: DataFrame) -> DataFrame:
+        """The components with the links (a, b) added."""
         ends = comp.select(F.col("cls").alias("a"), F.col("comp").alias("x"))
-        edges = links.join(ends, "a").join(ends.toDF("b", "y"), "b").select("x", "y").filter("x != y").distinct()
-        mapping = contract(edges)
-        return materialize(relabel(comp, "comp", mapping), "comp"), True
+        edges = links.join(ends, "a").join(ends.toDF("b", "y"), "b").select("x", "y")
+        return materialize(relabel(comp, "comp", contract(edges)), "comp")
+
+
+def unresolved(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """(key, cls, n, comp) of the buckets that hold more than one component."""
+    placed = members.join(comp, "cls")
+    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
+    return placed.join(split.select("key"), "key")
 
 
 def relabel(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
@@ -311,15 +375,15 @@ def contract(edges: DataFrame) -> DataFrame:
     Each round maps a node to its least neighbour and that one's least neighbour, then merges
     mapped nodes; the number of nodes at least halves.
     """
-    edges = materialize(edges, "edges")
-    nodes = materialize(edges.select(F.explode(F.array("x", "y")).alias("node")).distinct().withColumn("root", F.col("node")), "roots")
+    edges = materialize(edges.filter("x != y").distinct(), "edges")
+    roots = edges.select(F.explode(F.array("x", "y")).alias("node")).distinct().withColumn("root", F.col("node"))
     while not edges.isEmpty():
         both = edges.union(edges.select("y", "x"))
-        least = materialize(both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("root")), "least")
+        least = both.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("root"))
         jump = materialize(relabel(least, "root", least), "jump")
-        nodes = materialize(relabel(nodes, "root", jump), "roots")
+        roots = relabel(roots, "root", jump)
         edges = materialize(relabel(relabel(edges, "x", jump), "y", jump).filter("x != y").distinct(), "edges")
-    return nodes
+    return roots
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

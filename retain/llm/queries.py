@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retain.llm import chat, decontam, exact_dedup, langid, mixing, neardup, packing, pii, sharding, warc
-from retain.llm.common import materialize, read, shared_path
+from retain.llm.common import materialize, read, shared_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 

@@ -1,7 +1,7 @@
 import random
 import re
 
-from conftest import EDGE, rows
+from cases import EDGE, rows
 from pyspark.sql import functions as F
 
 from retain.llm import decontam

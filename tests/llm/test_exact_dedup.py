@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from conftest import EDGE
+from cases import EDGE
 from pyspark.sql import functions as F
 
 from retain.llm import exact_dedup

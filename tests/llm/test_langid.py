@@ -1,6 +1,6 @@
 import random
 
-from conftest import EDGE
+from cases import EDGE
 from pyspark.sql import functions as F
 
 from retain.llm import langid

@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from conftest import EDGE
+from cases import EDGE
 from pyspark.sql import functions as F
 
 from retain.llm import neardup
@@ -49,7 +49,9 @@ def test_driver_rows_against_brute_force(spark):
     assert got(neardup.near_duplicates(docs)) == brute(table)
 
 
-def test_chains_and_crowded_buckets(spark, frame):
+def test_chains_and_crowded_buckets(spark, frame, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(neardup, "PIVOT_ROUNDS", 1)
     draw = random.Random(5)
     base = [f"w{draw.randint(0, 10**6)}" for _ in range(150)]
     table, now = [], list(base)
@@ -80,7 +82,6 @@ def test_keep_one(spark, frame):
 
 
 def test_sketches_merge_and_estimate():
-    draw = random.Random(1)
     text = lambda w: " ".join(w)
     left = [f"a{i}" for i in range(400)]
     right = left[:300] + [f"b{i}" for i in range(100)]
@@ -93,7 +94,14 @@ def test_sketches_merge_and_estimate():
     n = np.diff(offsets)
     found = neardup.estimate(n[:1], n[1:], made[:1], made[1:])[0]
     assert abs(found - len(x & y) / len(x | y)) < 0.12
-    assert draw is not None
+
+
+def test_common_counts_equal_intersections(monkeypatch):
+    monkeypatch.setattr(neardup, "COLUMNS", 16)
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 200, n)).astype(np.uint64) for n in (1, 5, 80, 150, 0, 40)]
+    got = neardup.common_counts(sets[:4], sets[2:])
+    assert got.tolist() == [[len(np.intersect1d(x, y)) for y in sets[2:]] for x in sets[:4]]
 
 
 def test_contract_maps_to_the_least_node(spark):

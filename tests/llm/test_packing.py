@@ -1,5 +1,5 @@
 import numpy as np
-from conftest import EDGE
+from cases import EDGE
 from pyspark.sql import functions as F
 
 from retain.llm import packing
