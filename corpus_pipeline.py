@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retain.llm import decontam, langid, mixing, neardup, sharding
-from retain.llm.common import materialize, read
+from retain.llm.common import materialize, read, ship
 
 N_SHARDS = 8
 
@@ -50,6 +50,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
