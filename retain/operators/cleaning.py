@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retain.config import DEFAULT, Config
-from retain.functions.numeric import clip, round_half_even
+from retain.functions.numeric import clip
 from retain.functions.quantiles import exact_quantiles
 from retain.functions.rows import with_row
 from retain.session import materialize
@@ -70,15 +70,12 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def iqr_fences(df: DataFrame, column: str, factor: float = DEFAULT.iqr_factor) -> DataFrame:
-    """One row: quartiles and the fences q1 - f*iqr, q3 + f*iqr."""
+    """One row: quartiles and the fences q1 - f*iqr, q3 + f*iqr, unrounded."""
     quartiles = exact_quantiles(df, [column], [0.25, 0.75])
     q1, q3 = F.get(column, F.lit(0)), F.get(column, F.lit(1))
     spread = (q3 - q1) * factor
     return quartiles.select(
-        round_half_even(q1, 4).alias("q1"),
-        round_half_even(q3, 4).alias("q3"),
-        round_half_even(q1 - spread, 4).alias("lower_fence"),
-        round_half_even(q3 + spread, 4).alias("upper_fence"),
+        q1.alias("q1"), q3.alias("q3"), (q1 - spread).alias("lower_fence"), (q3 + spread).alias("upper_fence")
     )
 
 

@@ -46,9 +46,16 @@ def nullify_tokens(col: Column) -> Column:
     return F.when(~col.isin(*NULL_TOKENS), col)
 
 
-def parse_date(col: Column, fmt: str = "yyyy-MM-dd") -> Column:
-    """Text to DATE; anything that does not match the format becomes null."""
-    return F.try_to_date(col, fmt)
+# Formats of a date column, tried in order. Add day-first or month-first ones where a source has them.
+DATE_FORMATS = (
+    "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]", "yyyy-MM-dd HH:mm", "yyyy/MM/dd",
+)
+
+
+def parse_date(col: Column, formats: str | Sequence[str] = DATE_FORMATS) -> Column:
+    """Text to DATE by the first format that fits, times of day cut off; null if none does."""
+    formats = [formats] if isinstance(formats, str) else formats
+    return F.coalesce(*[F.try_to_date(col, f) for f in formats])
 
 
 def require_columns(name: str, columns: Sequence[str]) -> None:
@@ -57,28 +64,36 @@ def require_columns(name: str, columns: Sequence[str]) -> None:
         raise ValueError(f"{name}: missing columns {missing}")
 
 
-def _from_text(name: str, field: str, kind: T.DataType) -> Column:
+def whole_number(text: Column) -> Column:
+    """Text to INT. 35.0 is 35, as columns with gaps are often written; a fraction or a number
+    beyond the type is null."""
+    number = text.try_cast("double")
+    return F.when(number == F.rint(number), number.try_cast("int"))
+
+
+def _from_text(name: str, field: str, kind: T.DataType, formats: Sequence[str]) -> Column:
     text = nullify_tokens(F.col(field))
     if isinstance(kind, T.DateType):
-        return parse_date(text)
+        return parse_date(text, formats)
     if isinstance(kind, T.IntegerType):
-        # Integers of a column with gaps are often written as 35.0.
-        return text.try_cast("double").cast("int")
+        return whole_number(text)
     return text.try_cast(kind)
 
 
-def read_csv(spark: SparkSession, path: str, name: str, *, multiline: bool = False) -> DataFrame:
+def _csv_text(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
+
+
+def read_csv(
+    spark: SparkSession, path: str, name: str, *, multiline: bool = False, formats: Sequence[str] = DATE_FORMATS
+) -> DataFrame:
     """One table from headered CSV: all columns are read by name as text, then typed.
 
     Columns outside the schema are kept as text. `multiline` allows line breaks inside quoted
-    values but makes each file one task, so it is off by default.
+    values but makes each file one task, so it is off by default. What cannot be typed is null;
+    `unreadable` counts it.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+    raw = _csv_text(spark, path, multiline)
     require_columns(name, raw.columns)
     position = F.struct(
         F.col("_metadata.file_path"),
@@ -87,12 +102,28 @@ def read_csv(spark: SparkSession, path: str, name: str, *, multiline: bool = Fal
     )
     schema = SCHEMAS[name]
     return raw.select(
-        *[_from_text(name, c, schema.get(c, T.StringType())).alias(c) for c in raw.columns],
+        *[_from_text(name, c, schema.get(c, T.StringType()), formats).alias(c) for c in raw.columns],
         position.alias(INGEST_ORDER),
     )
 
 
-def read_parquet(spark: SparkSession, path: str, name: str) -> DataFrame:
+def unreadable(
+    spark: SparkSession, path: str, name: str, *, multiline: bool = False, formats: Sequence[str] = DATE_FORMATS
+) -> DataFrame:
+    """Per typed column of a CSV table: values that are present, and those that `read_csv` makes null."""
+    raw = _csv_text(spark, path, multiline)
+    typed = {c: k for c, k in SCHEMAS[name].items() if c in raw.columns and not isinstance(k, T.StringType)}
+    entries = []
+    for c, kind in typed.items():
+        present = nullify_tokens(F.col(c)).isNotNull()
+        lost = present & _from_text(name, c, kind, formats).isNull()
+        entries.append(F.struct(F.lit(c).alias("column_name"), F.count_if(present).alias("present"), F.count_if(lost).alias("unreadable")))
+    return raw.agg(F.array(*entries).alias("e")).select(F.inline("e"))
+
+
+def read_parquet(
+    spark: SparkSession, path: str, name: str, *, formats: Sequence[str] = DATE_FORMATS
+) -> DataFrame:
     """One table from Parquet; dates stored as timestamps become DATE, NaN becomes null."""
     raw = spark.read.parquet(path)
     require_columns(name, raw.columns)
@@ -100,7 +131,7 @@ def read_parquet(spark: SparkSession, path: str, name: str) -> DataFrame:
     for field in raw.schema.fields:
         col = F.col(field.name)
         if isinstance(SCHEMAS[name].get(field.name), T.DateType):
-            col = parse_date(col) if isinstance(field.dataType, T.StringType) else col.cast("date")
+            col = parse_date(col, formats) if isinstance(field.dataType, T.StringType) else col.cast("date")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             col = F.when(~F.isnan(col), col)
         columns.append(col.alias(field.name))
@@ -108,14 +139,17 @@ def read_parquet(spark: SparkSession, path: str, name: str) -> DataFrame:
     return raw.select(*columns, position.alias(INGEST_ORDER))
 
 
-def load_all(spark: SparkSession, folder: str, fmt: str = "csv") -> Bundle:
-    """All five tables from `<folder>/<table>.<fmt>`, each a file or a folder of files."""
+def load_all(spark: SparkSession, folder: str, fmt: str = "csv", **options) -> Bundle:
+    """All five tables from `<folder>/<table>.<fmt>`, each a file or a folder of files.
+
+    `options` (`formats`, and `multiline` for CSV) go to the reader.
+    """
     reader = {"csv": read_csv, "parquet": read_parquet}[fmt]
     tables = {}
     for name in TABLES:
         path = f"{folder.rstrip('/')}/{name}.{fmt}"
         try:
-            tables[name] = reader(spark, path, name)
+            tables[name] = reader(spark, path, name, **options)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

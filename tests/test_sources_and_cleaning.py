@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retain.operators import cleaning, profiling
-from retain.sources.bundle import INGEST_ORDER, load_all, read_csv, read_parquet, write_table
+from retain.sources.bundle import INGEST_ORDER, load_all, read_csv, read_parquet, unreadable, write_table
 
 CUSTOMERS = """customer_id,registration_date,age,gender,city,state,customer_segment,loyalty_points,phone
 C1,2023-01-05,34.0,Female,"Rome, north",N/A,B2C,10,555
@@ -28,6 +28,20 @@ def test_read_csv_types_and_null_texts(spark, tmp_path):
     assert set(cleaned) == {"C1"} and cleaned["C1"].phone == "555"
 
 
+def test_dates_and_numbers_in_other_forms(spark, tmp_path):
+    path = tmp_path / "customers.csv"
+    head = CUSTOMERS.split("\n")[0]
+    rows = ["A,2024-01-05 10:00:00,3000000000,F,x,y,s,35.7,1", "B,2024-01-05T10:00:00,35.0,F,x,y,s,1e400,1",
+            "C,2024/01/05,41,F,x,y,s,-3,1", "D,05.01.2024,41,F,x,y,s,,1", "E,2024-01-05,1,F,\"a\nb\",y,s,2,1"]
+    path.write_text("\n".join([head, *rows]) + "\n")
+    options = {"multiline": True, "formats": ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd", "dd.MM.yyyy")}
+    got = {r.customer_id: r for r in read_csv(spark, str(path), "customers", **options).collect()}
+    assert {r.registration_date for r in got.values()} == {dt.date(2024, 1, 5)} and got["E"].city == "a\nb"
+    assert (got["A"].age, got["A"].loyalty_points, got["B"].age, got["B"].loyalty_points) == (None, None, 35, None)
+    lost = {r.column_name: (r.present, r.unreadable) for r in unreadable(spark, str(path), "customers", multiline=True).collect()}
+    assert lost["registration_date"] == (5, 1) and lost["age"] == (5, 1) and lost["loyalty_points"] == (4, 2)
+
+
 def test_missing_columns_and_files(spark, tmp_path):
     (tmp_path / "customers.csv").write_text("customer_id,age\n1,2\n")
     with pytest.raises(ValueError, match="customers.*gender"):
@@ -66,6 +80,11 @@ def test_iqr_capping_by_hand(spark):
     assert sorted(r.x for r in cleaning.cap_outliers(df, "x").collect()) == [10, 20, 30, 40, 100]
 
 
+def test_small_values_are_not_rounded_away(spark):
+    df = spark.createDataFrame([(i * 1e-7,) for i in range(100)], "x double")
+    assert cleaning.cap_outliers(df, "x").agg(F.max("x")).first()[0] == pytest.approx(99e-7)
+
+
 def test_median_is_taken_before_rows_without_registration_go(spark):
     rows = [(1, dt.date(2024, 1, 1), None), (2, None, 80), (3, dt.date(2024, 1, 1), 20), (4, None, 81)]
     df = spark.createDataFrame(
