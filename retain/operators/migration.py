@@ -4,58 +4,58 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retain.config import DEFAULT, Config
+from retain.functions.dates import month_index
+from retain.functions.numeric import money
 from retain.functions.quantiles import exact_quantiles
 from retain.operators.features import completed_orders
 from retain.operators.segmentation import QUINTILES, SCORES, score_from_edges, segment_of
 
 
-def month_ends(until: dt.date, months: int) -> list[dt.date]:
-    """The last `months` month ends up to a day, oldest first."""
-    ends = [(until + dt.timedelta(days=1)).replace(day=1) - dt.timedelta(days=1)]
-    while len(ends) < months:
-        ends.append(ends[-1].replace(day=1) - dt.timedelta(days=1))
-    return ends[::-1]
+def last_month_end(until: dt.date) -> dt.date:
+    """The last month end up to a day."""
+    return (until + dt.timedelta(days=1)).replace(day=1) - dt.timedelta(days=1)
 
 
-def customer_snapshots(orders: DataFrame, months: int = 12, config: Config = DEFAULT) -> DataFrame:
-    """Recency, frequency and monetary value of every buyer at each of the last month ends.
+def customer_snapshots(orders: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """Recency, frequency and monetary value of every buyer at every month end.
 
-    All snapshots come from one aggregation per customer. A customer appears from the first
-    snapshot with a purchase on. Snapshots are numbered 0 (oldest) to months - 1.
+    Orders are summed per customer and month, and those sums are cumulated per customer; a row
+    then holds from its month to the one before the customer's next purchase. A customer
+    appears from the first purchase on, up to the last month end before the snapshot day.
+    `snapshot` numbers the months (year * 12 + month).
     """
-    ends = [F.lit(day) for day in month_ends(config.snapshot, months)]
-    aggregates = []
-    for i, end in enumerate(ends):
-        until = F.col("order_date") <= end
-        aggregates += [
-            F.max(F.when(until, F.col("order_date"))).alias(f"_last{i}"),
-            F.count_if(until & F.col("order_id").isNotNull()).alias(f"_n{i}"),
-            F.sum(F.when(until, F.col("total_amount").cast("decimal(18,4)"))).alias(f"_sum{i}"),
-        ]
-    wide = (
+    last = last_month_end(config.snapshot)
+    monthly = (
         completed_orders(orders, config)
-        .filter(F.col("customer_id").isNotNull() & (F.col("order_date") <= ends[-1]))
-        .groupBy("customer_id")
-        .agg(*aggregates)
-    )
-    entries = [
-        F.struct(
-            F.lit(i).alias("snapshot"),
-            end.alias("as_of"),
-            F.datediff(end, F.col(f"_last{i}")).alias("recency_days"),
-            F.col(f"_n{i}").alias("frequency"),
-            F.col(f"_sum{i}").cast("double").alias("monetary"),
+        .filter(F.col("customer_id").isNotNull() & (F.col("order_date") <= F.lit(last)))
+        .groupBy("customer_id", month_index(F.col("order_date")).alias("_month"))
+        .agg(
+            F.max("order_date").alias("_last"),
+            F.count("order_id").alias("_n"),
+            F.sum(money(F.col("total_amount"))).alias("_sum"),
         )
-        for i, end in enumerate(ends)
-    ]
+    )
+    # One row per month with a purchase, so a customer's window is as long as its history.
+    months = Window.partitionBy("customer_id").orderBy("_month")
+    upto = months.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.coalesce(F.lead("_month").over(months) - 1, F.lit(last.year * 12 + last.month))
+    held = monthly.select(
+        "customer_id", "_month", "_last", F.sum("_n").over(upto).alias("frequency"),
+        F.sum("_sum").over(upto).cast("double").alias("monetary"), until.alias("_until"),
+    ).filter("frequency > 0")
+    first_day = F.make_date(
+        F.floor((F.col("snapshot") - 1) / 12).cast("int"), (F.pmod(F.col("snapshot") - 1, F.lit(12)) + 1).cast("int"), F.lit(1)
+    )
     return (
-        wide.select("customer_id", F.explode(F.array(*entries)).alias("e"))
-        .select("customer_id", "e.*")
-        .filter("frequency > 0")
+        held.withColumn("snapshot", F.explode(F.sequence("_month", "_until")))
+        .withColumn("as_of", F.last_day(first_day))
+        .select(
+            "customer_id", "snapshot", "as_of", F.datediff("as_of", "_last").alias("recency_days"), "frequency", "monetary",
+        )
     )
 
 
@@ -81,7 +81,7 @@ def segment_migration(snapshots: DataFrame) -> DataFrame:
     materialized table when it is costly.
     """
     moments = F.sort_array(F.collect_list(F.struct("snapshot", "as_of", "segment")))
-    # A customer has at most one entry per snapshot, so the list is short.
+    # A customer has at most one entry per month, so the list is as long as the history.
     history = snapshot_segments(snapshots).groupBy("customer_id").agg(moments.alias("h"))
     size = F.size("h")
     pairs = F.arrays_zip(

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from retain.functions.dates import month_label
 from retain.functions.joins import join_dimension
 from retain.functions.numeric import round_half_even, sum_money
-from retain.operators.cleaning import keep_first
 
 
 def dim_date(orders: DataFrame) -> DataFrame:
@@ -33,19 +32,29 @@ def dim_date(orders: DataFrame) -> DataFrame:
     )
 
 
+def order_payments(payments: DataFrame) -> DataFrame:
+    """One row per order over all its payments: how many, how much succeeded, and the method and
+    status of the one that counts, the last successful or else the last."""
+    success = F.col("payment_status") == "Success"
+    counts = F.max(F.struct(success.alias("ok"), "payment_date", "payment_id", "payment_method", "payment_status"))
+    paid = sum_money(F.when(success, F.col("amount")).otherwise(F.lit(0.0)))
+    return (
+        payments.groupBy("order_id")
+        .agg(F.count(F.lit(1)).alias("payments"), paid.alias("paid_amount"), counts.alias("_p"))
+        .select("order_id", "payments", "paid_amount", "_p.payment_method", "_p.payment_status")
+    )
+
+
 def star_fact(
     lines: DataFrame, customers: DataFrame, products: DataFrame, payments: DataFrame
 ) -> DataFrame:
-    """Order lines with the attributes of their customer, product, payment and date."""
+    """Order lines with the attributes of their customer, product, payments and date."""
     ids = [c for c in ("order_id", "line_no") if c in lines.columns]
     facts = lines.select(
         *ids, "customer_id", "product_id", "order_date", "quantity", "discount", "total_amount",
         "order_status", "channel",
     )
-    paid = keep_first(
-        payments.select("order_id", "payment_date", "payment_id", "payment_method", "payment_status"),
-        ["order_id"],
-    ).select("order_id", "payment_method", "payment_status")
+    paid = order_payments(payments)
     buyer = customers.select("customer_id", "customer_segment", "state")
     item = products.select("product_id", "product_name", "category")
     joined = facts
@@ -56,7 +65,7 @@ def star_fact(
         .select(
             *ids, "order_date", "year", "year_month", "customer_id", "customer_segment", "state",
             "product_id", "product_name", "category", "payment_method", "payment_status",
-            "quantity", "discount", "total_amount", "order_status", "channel",
+            F.coalesce("payments", F.lit(0)).alias("payments"), "paid_amount", "quantity", "discount", "total_amount", "order_status", "channel",
         )
     )
 

@@ -124,32 +124,38 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payment per order, its outcome by the order's status; some orders have a second one."""
     key = F.col("o_orderkey")
+    nth = F.when(_every("o_orderkey", 40), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
         _table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "F")
+        .withColumn("nth", F.explode(nth))
         .select(
-            key.alias("payment_id"),
+            (key * 2 + F.col("nth")).alias("payment_id"),
             key.alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").cast("date").alias("payment_date"),
+            F.date_add(F.col("o_orderdate").cast("date"), F.col("nth")).alias("payment_date"),
             F.when(_every("o_orderkey", 53), None)
             .when(_every("o_orderkey", 59), -F.col("o_totalprice"))
             .otherwise(F.col("o_totalprice"))
             .alias("amount"),
             F.col("o_orderpriority").alias("payment_method"),
-            F.when(_every("o_orderkey", 20), "Failed").otherwise("Success").alias("payment_status"),
+            F.when(_every("o_orderkey", 20) & (F.col("nth") == 0), "Failed")
+            .when(F.col("o_orderstatus") == "F", "Success")
+            .when(F.col("o_orderstatus") == "O", "Pending")
+            .otherwise("Refunded")
+            .alias("payment_status"),
         )
     )
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Views of the event log taken as reviews; product keys wrap around the part table."""
+    """The event log taken as reviews, the kind of event as their text; product keys wrap
+    around the part table."""
     parts = _table(spark, sf_dir, "part").agg(F.count(F.lit(1)).alias("_parts"))
     key = F.col("event_id")
     return (
         _table(spark, sf_dir, "events")
-        .filter(F.col("event_type") == "view")
         .select(
             key.alias("review_id"),
             key.alias("order_id"),

@@ -84,12 +84,14 @@ def test_scores_count_the_edges_below(spark):
 
 
 def test_migration_moves_by_hand(spark):
-    assert migration.month_ends(dt.date(2024, 3, 31), 2) == [dt.date(2024, 2, 29), dt.date(2024, 3, 31)]
-    assert migration.month_ends(dt.date(2024, 1, 15), 2) == [dt.date(2023, 11, 30), dt.date(2023, 12, 31)]
+    assert migration.last_month_end(dt.date(2024, 3, 31)) == dt.date(2024, 3, 31)
+    assert migration.last_month_end(dt.date(2024, 1, 15)) == dt.date(2023, 12, 31)
     df = orders(spark, [(c, "p", d, 5.0, "Completed", "Web") for c, d in (
         ("old", dt.date(2024, 1, 5)), ("old", dt.date(2024, 3, 5)), ("new", dt.date(2024, 3, 9)))])
-    snapshots = migration.customer_snapshots(df, 2, Config())
+    snapshots = migration.customer_snapshots(df, Config())
     rows = {(r.customer_id, r.snapshot): (r.recency_days, r.frequency, r.monetary) for r in snapshots.collect()}
-    assert rows == {("old", 0): (55, 1, 5.0), ("old", 1): (26, 2, 10.0), ("new", 1): (22, 1, 5.0)}
-    (move,) = migration.segment_migration(snapshots).collect()
-    assert (move.month, move.customers) == ("2024-03", 1)
+    m = 2024 * 12
+    assert rows == {
+        ("old", m + 1): (26, 1, 5.0), ("old", m + 2): (55, 1, 5.0), ("old", m + 3): (26, 2, 10.0), ("new", m + 3): (22, 1, 5.0)}
+    moves = sorted((r.month, r.customers) for r in migration.segment_migration(snapshots).collect())
+    assert moves == [("2024-02", 1), ("2024-03", 1)]
