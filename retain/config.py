@@ -22,6 +22,7 @@ class Config:
     trees: int = 200
     tree_depth: int = 8
     min_split: int = 10
+    max_bins: int = 256
     seed: int = 42
     alpha: float = 0.05
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Four places hold the interpolated IQR fences of two-place amounts without loss.
-MONEY_TYPE = "decimal(18,4)"
+# Six places, 22 digits before the point, and 32 in a sum: exact for amounts that doubles hold to six places.
+MONEY_TYPE = "decimal(28,6)"
 
 
 def clip(col: Column, lower=None, upper=None) -> Column:

@@ -1,10 +1,11 @@
 """Exact interpolated quantiles without gathering a column in one task.
 
 `percentile` keeps every distinct value of a group in one map, which does not scale. Here
-three passes narrow each wanted rank down: a coarse mergeable sketch gives a value range
-around it; one aggregation counts the rows between the ranges and in equal-width bins inside
-them; a last one counts the values of the bins that hold a wanted rank. Ranks come from
-these exact counts alone, so a poor sketch can cost time but not change a result.
+passes narrow each wanted rank down: a coarse mergeable sketch gives a value range around it;
+one aggregation counts the rows between the ranges and in equal-width bins inside them; the bin
+that holds a wanted rank is cut again between its own least and greatest value, which closes
+gaps and tails that made it hold too much; a last pass counts the values of what is left. Ranks
+come from these exact counts alone, so a poor sketch can cost time but not change a result.
 """
 
 from __future__ import annotations
@@ -25,22 +26,23 @@ def exact_quantiles(
     *,
     by: Sequence[str] = (),
     accuracy: int = 1000,
+    refinements: int = 1,
 ) -> DataFrame:
     """Linear-interpolated quantiles of each column, nulls ignored.
 
     Returns one row (or one per group of the low-cardinality keys `by`) with an
     `array<double>` per column, in the order of `fractions`. A column without values gives
-    null, or no row if it is the only one. `df` is read three times. The sketch of a task is a few kB; the bins of a column
-    are at most `BINS` rows per fraction; the values sorted at the end are those of single
-    bins, about 4 / (accuracy * BINS) of the rows.
+    null, or no row if it is the only one. `df` is read 3 + `refinements` times. The sketch of a
+    task is a few kB; the bins of a column are at most `BINS` rows per fraction; the values
+    sorted at the end are those of single bins, about 4 / accuracy / BINS of the rows and again
+    1 / BINS of that with every refinement.
     """
     by, group = list(by), [*by, "_metric"]
     positions = [f"(_n - 1) * {float(p)!r}D" for p in fractions]
     cells = [f"struct('{c}' AS _metric, CAST(`{c}` AS DOUBLE) AS _x)" for c in columns]
-    # One column needs no row per cell.
-    cell = cells[0] if len(cells) == 1 else f"explode(array({', '.join(cells)}))"
+    # A row per cell, also of a single column: a constant key would make the joins below cross joins.
     long = (
-        df.select(*by, F.expr(cell).alias("_e")).select(*by, "_e.*").filter("_x IS NOT NULL")
+        df.select(*by, F.expr(f"explode(array({', '.join(cells)}))").alias("_e")).select(*by, "_e.*").filter("_x IS NOT NULL")
     )
 
     # Pass 1: a value range [low, high] around each fraction.
@@ -85,25 +87,16 @@ def exact_quantiles(
         .agg(F.expr("collect_list(struct(_low, _high, _start, _t.slot, _t.rank))").alias("_wanted"))
     )
 
-    # Pass 3: the values of the intervals that hold a wanted rank.
-    # The first filter drops almost every row with plain comparisons.
+    # Further passes: the same inside the intervals that hold a wanted rank.
+    for _ in range(refinements):
+        wanted = _refined(_inside(long, wanted, group, len(positions)), group)
+
+    # Last pass: the values of the intervals that are left.
     inside = Window.partitionBy(*group, "slot").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    wanted_value = " OR ".join(
-        f"_x BETWEEN get(_wanted, {i})._low AND get(_wanted, {i})._high"
-        for i in range(2 * len(positions))
-    )
     found = (
-        _attach(long, wanted, group)
-        .filter(wanted_value)
-        .select(
-            *group, "_n", "_x",
-            F.expr("filter(_wanted, w -> _x BETWEEN w._low AND w._high)").alias("_match"),
-        )
-        .groupBy(*group, "_n", "_x", "_match")
+        _inside(long, wanted, group, len(positions))
+        .groupBy(*group, "_n", "slot", "rank", "_start", "_x")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*group, "_n", "_x", "_rows", F.inline("_match"))
-        # Few rows are left, so all steps to the end share one partitioning.
-        .repartition(*group)
         .withColumn("_end", F.col("_start") + F.sum("_rows").over(inside))
         .filter("rank < _end AND rank >= _end - _rows")
     )
@@ -121,8 +114,38 @@ def exact_quantiles(
     )
 
 
+def _inside(long: DataFrame, wanted: DataFrame, group: list[str], fractions: int) -> DataFrame:
+    """The rows in wanted intervals, once per interval. The first filter drops almost every row
+    with plain comparisons."""
+    any_interval = " OR ".join(
+        f"_x BETWEEN get(_wanted, {i})._low AND get(_wanted, {i})._high" for i in range(2 * fractions)
+    )
+    return (
+        _attach(long, wanted, group)
+        .filter(any_interval)
+        .select(*group, "_n", "_x", F.expr("inline(filter(_wanted, w -> _x BETWEEN w._low AND w._high))"))
+    )
+
+
+def _refined(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Every wanted interval narrowed to the one of its `BINS` parts that holds the rank."""
+    part = f"CAST(coalesce(least(floor(try_divide(_x - _low, _high - _low) * {BINS}), {BINS - 1}), 0) AS INT)"
+    slot = [*group, "_n", "slot", "rank"]
+    parts = rows.groupBy(*slot, "_start", F.expr(part).alias("_part")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_x").alias("_low"), F.max("_x").alias("_high")
+    )
+    running = Window.partitionBy(*group, "slot").orderBy("_low").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        parts.withColumn("_end", F.col("_start") + F.sum("_rows").over(running))
+        .filter("rank < _end AND rank >= _end - _rows")
+        .groupBy(*group, "_n")
+        .agg(F.expr("collect_list(struct(_low, _high, _end - _rows AS _start, slot, rank))").alias("_wanted"))
+    )
+
+
 def _attach(long: DataFrame, small: DataFrame, group: list[str]) -> DataFrame:
-    """Put a group's row next to its values. `small` has one short row per group and column."""
+    """Put a group's row next to its values. `small` has one short row per group and column;
+    the groups are few by contract."""
     renamed = {g: f"_k{i}" for i, g in enumerate(group)}
     same = reduce(
         lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(k)) for g, k in renamed.items()]

@@ -8,44 +8,55 @@ from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retain.config import CATEGORICAL_FEATURES, DEFAULT, NUMERIC_FEATURES, TARGET, Config
+from retain.functions.joins import join_dimension
 from retain.functions.numeric import ratio, round_half_even
 from retain.functions.quantiles import exact_quantiles
 from retain.functions.rows import add_row, with_row
 from retain.session import materialize
 
 
+def label_codes(feat: DataFrame, column: str) -> DataFrame:
+    """(column, code): the distinct values and their positions in sorted order, from 0.
+
+    Null counts as the text "nan". Positions are counted per two-character prefix and then
+    within one, so no window holds all values of a column.
+    """
+    values = feat.select(_label(column).alias(column)).distinct().withColumn("_head", F.substring(column, 1, 2))
+    heads = values.groupBy("_head").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1))
+    heads = heads.select("_head", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_head").orderBy(column)) - 1
+    return values.join(heads, "_head").select(column, (F.col("_before") + place).cast("int").alias("_code"))
+
+
+def _label(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
+
+
 def label_encode(feat: DataFrame, columns: tuple[str, ...] = CATEGORICAL_FEATURES) -> DataFrame:
     """Replace each category by its position among the sorted distinct values, from 0.
 
-    Null counts as the text "nan". The sorted values of a column are one array, as long as
-    the column has categories, so rows are not shuffled by a frequent category.
+    Rows meet the codes in a join that spreads a frequent category.
     """
-    present = [c for c in columns if c in feat.columns]
-    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in present}
-    labels = feat.agg(*[F.array_sort(F.collect_set(text[c])).alias(c) for c in present])
-    return (
-        with_row(feat, "_labels", labels)
-        .withColumns({c: (F.array_position(f"_labels.{c}", text[c]) - 1).cast("int") for c in present})
-        .drop("_labels")
-    )
+    encoded = feat
+    for c in [c for c in columns if c in feat.columns]:
+        codes = label_codes(feat, c)
+        joined = join_dimension(encoded.withColumn(c, _label(c)), codes, c, spread_by=["customer_id"])
+        encoded = joined.withColumn(c, F.col("_code")).drop("_code")
+    return encoded.select(*feat.columns)
 
 
 def fill_medians(feat: DataFrame, columns: tuple[str, ...] = NUMERIC_FEATURES) -> DataFrame:
-    """Numeric columns as double, nulls replaced by the median. One row of null counts
-    decides which columns need a median at all; usually none does."""
+    """Numeric columns as double, nulls replaced by the median."""
     present = [c for c in columns if c in feat.columns]
     numeric = feat.withColumns({c: F.col(c).cast("double") for c in present})
-    gaps = feat.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present]).first()
-    needed = [c for c in present if gaps[c]]
-    if not needed:
-        return numeric
-    with_medians = with_row(numeric, "_medians", exact_quantiles(numeric, needed, [0.5]))
+    with_medians = with_row(numeric, "_medians", exact_quantiles(numeric, present, [0.5]))
     return with_medians.withColumns(
-        {c: F.coalesce(F.col(c), F.get(f"_medians.{c}", F.lit(0))) for c in needed}
+        {c: F.coalesce(F.col(c), F.get(f"_medians.{c}", F.lit(0))) for c in present}
     ).drop("_medians")
 
 
@@ -62,15 +73,17 @@ def prepare_features(feat: DataFrame, exclude_leaky: bool = False) -> tuple[Data
 
 
 def stratified_split(
-    df: DataFrame, label: str = TARGET, key: str = "customer_id", config: Config = DEFAULT
+    df: DataFrame, label: str = TARGET, key: str = "customer_id", config: Config = DEFAULT,
+    draw: Column | None = None,
 ) -> DataFrame:
     """Adds `is_test`: per class, the share with the lowest hash of the key.
 
     The hash threshold is an exact quantile per class, so class shares hold to within one
-    row, without sorting a class in one task. The same rows are drawn in every run.
+    row, without sorting a class in one task. The same rows are drawn in every run. `draw` is
+    another number to draw by.
     """
-    draw = F.xxhash64(F.lit(config.seed), F.col(key)).cast("double")
-    drawn = df.withColumn("_draw", draw)
+    number = F.xxhash64(F.lit(config.seed), F.col(key)) if draw is None else draw
+    drawn = df.withColumn("_draw", number.cast("double"))
     cut = exact_quantiles(drawn, ["_draw"], [config.test_share], by=[label]).select(
         F.col(label).alias("_class"), F.get("_draw", F.lit(0)).alias("_cut")
     )
@@ -124,6 +137,7 @@ def train_churn_model(
         maxDepth=config.tree_depth,
         minInstancesPerNode=max(config.min_split // 2, 1),
         featureSubsetStrategy="sqrt",
+        maxBins=config.max_bins,
         maxMemoryInMB=1024,
         seed=config.seed,
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from retain.functions.numeric import ratio, round_half_even
 from retain.functions.rows import add_row
+from retain.session import materialize
 
 
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
@@ -48,42 +49,27 @@ def classification_metrics(predictions: DataFrame) -> DataFrame:
     )
 
 
-def roc_auc(predictions: DataFrame, width: int = 4096) -> DataFrame:
+def roc_auc(predictions: DataFrame, cells: int = 256) -> DataFrame:
     """Area under the ROC curve: the chance that a positive outscores a negative, ties half.
 
-    Scores lie in [0, 1] and are counted per value first, so ties are one row. The negatives
-    below a score are a running total over three levels: blocks, the cells of a block, the
-    scores of a cell. Blocks and the cells of a block number at most `width` (+ 1), so no
-    window spans all scores, and no score is rounded.
+    Scores are counted per value first, so ties are one row. The distinct scores are then dealt
+    to `cells` ranges of about equal numbers, wherever scores crowd, and written once with their
+    range. The negatives below a score are those of earlier ranges plus a running total inside
+    its own, so no window spans all scores and no score is rounded.
     """
-    cell = F.floor(F.col("score") * (width * width))
-    per_score = (
-        predictions.groupBy("score")
-        .agg(
-            F.count_if(F.col("label") == 1).alias("pos"),
-            F.count_if(F.col("label") == 0).alias("neg"),
-        )
-        .select("score", "pos", "neg", cell.alias("cell"))
+    per_score = predictions.groupBy("score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    cells = per_score.groupBy("cell").agg(F.sum("neg").alias("cell_neg")).withColumn(
-        "block", F.floor(F.col("cell") / width)
-    )
-    blocks = cells.groupBy("block").agg(F.sum("cell_neg").alias("block_neg"))
-
-    def before(column: str, window) -> Column:
-        total = F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1))
-        return F.coalesce(total, F.lit(0))
-
-    below_block = blocks.select("block", before("block_neg", Window.orderBy("block")).alias("below_block"))
-    in_block = Window.partitionBy("block").orderBy("cell")
-    below_cell = (
-        cells.join(F.broadcast(below_block), "block")
-        .withColumn("below_cell", F.col("below_block") + before("cell_neg", in_block))
-        .select("cell", "below_cell")
-    )
-    in_cell = Window.partitionBy("cell").orderBy("score")
-    ranked = per_score.join(below_cell, "cell").withColumn(
-        "below", F.col("below_cell") + before("neg", in_cell)
+    ranged = per_score.repartitionByRange(cells, "score").withColumn("cell", F.spark_partition_id())
+    placed = materialize(ranged, "scores")
+
+    def before(window) -> Column:
+        return F.coalesce(F.sum("neg").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    # At most `cells` rows.
+    below = placed.groupBy("cell").agg(F.sum("neg").alias("neg")).select("cell", before(Window.orderBy("cell")).alias("below_cell"))
+    ranked = placed.join(F.broadcast(below), "cell").withColumn(
+        "below", F.col("below_cell") + before(Window.partitionBy("cell").orderBy("score"))
     )
     wins = (F.col("pos") * (F.col("below") + F.col("neg") / 2)).cast("decimal(28,1)")
     totals = ranked.agg(

@@ -36,7 +36,11 @@ def build_rfm(orders: DataFrame, config: Config = DEFAULT) -> DataFrame:
         .withColumn(
             "avg_order_value", round_half_even(ratio(F.col("monetary"), F.col("frequency")), 2)
         )
-        .withColumn("purchase_frequency", round_half_even(ratio(F.col("frequency"), periods), 3))
+        # Without a lifetime there is no rate; the number of purchases stands in.
+        .withColumn(
+            "purchase_frequency",
+            round_half_even(F.coalesce(ratio(F.col("frequency"), periods), F.col("frequency").cast("double")), 3),
+        )
     )
 
 

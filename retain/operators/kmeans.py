@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -70,15 +72,37 @@ def kmeans_segmentation(
         model = min(fits, key=lambda m: m.summary.trainingCost)
     finally:
         points.unpersist()
-    clusters = model.transform(points).select(
-        "customer_id", F.col("prediction").alias("kmeans_cluster")
-    )
-    clustered = feat.join(clusters, "customer_id")
+    clustered = assign_clusters(feat, model, inputs)
     names = cluster_names(kmeans_profile(clustered)).select("kmeans_cluster", "kmeans_segment")
     # At most k rows.
     return clustered.join(F.broadcast(names), "kmeans_cluster", "left"), model, scaling_row(inputs)
 
 
+def assign_clusters(feat: DataFrame, model: KMeansModel, inputs: DataFrame) -> DataFrame:
+    """`feat` plus `kmeans_cluster`: rows are scaled and assigned where they are, without a join."""
+    place = [f"_{c}" for c in AXES]
+    longest = feat.agg(F.max(F.coalesce(F.col("recency_days").cast("double"), F.lit(0.0)))).scalar()
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in AXES}
+    logs = {"recency_days": F.log1p(longest - filled["recency_days"]), **{c: F.log1p(filled[c]) for c in AXES[1:]}}
+    scaled = {}
+    for c, name in zip(AXES, place):
+        centred = logs[c] - F.col(f"_scale.mean_{c}")
+        scaled[name] = F.coalesce(ratio(centred, F.col(f"_scale.sd_{c}")), centred)
+    placed = with_row(feat, "_scale", scaling_row(inputs)).withColumns(scaled)
+    points = VectorAssembler(inputCols=place, outputCol="features").transform(placed)
+    assigned = model.transform(points).withColumnRenamed("prediction", "kmeans_cluster")
+    return assigned.select(*feat.columns, "kmeans_cluster")
+
+
+def nearest_centre(scaled: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """`kmeans_cluster`: the position of the nearest of the given centres, the first of equal ones."""
+    apart = [
+        sum((F.col(c) - F.lit(float(at))) * (F.col(c) - F.lit(float(at))) for c, at in zip(AXES, centre)) for centre in centres
+    ]
+    distances = F.array(*apart)
+    return scaled.withColumn("kmeans_cluster", (F.array_position(distances, F.array_min(distances)) - 1).cast("int"))
+
+
 def kmeans_profile(clustered: DataFrame) -> DataFrame:
     """Customers and the median recency, frequency and monetary value per cluster."""
     medians = exact_quantiles(clustered, list(AXES), [0.5], by=["kmeans_cluster"]).select(

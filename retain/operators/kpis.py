@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retain.config import DEFAULT, Config
-from retain.functions.numeric import ratio, round_half_even, sum_money
+from retain.functions.numeric import MONEY_TYPE, ratio, round_half_even, sum_money
 from retain.functions.rows import add_row
 from retain.operators.features import completed_orders
 from retain.operators.retention import avg_retention
@@ -120,8 +120,8 @@ def insights(
     done = completed_orders(orders, config)
     revenue = done.agg(round_half_even(sum_money(F.col("total_amount")), 2).alias("total_revenue"))
     champions = F.col("rfm_segment") == "Champions"
-    spend = F.sum(F.col("monetary").cast("decimal(18,4)"))
-    champion_spend = F.sum(F.when(champions, F.col("monetary").cast("decimal(18,4)")))
+    spend = F.sum(F.col("monetary").cast(MONEY_TYPE))
+    champion_spend = F.sum(F.when(champions, F.col("monetary").cast(MONEY_TYPE)))
     base = segmented.agg(
         round_half_even(F.avg("churned") * 100, 4).alias("churn_rate_pct"),
         round_half_even(_mean_money(F.when(F.col("clv") > 0, F.col("clv"))), 2).alias("avg_clv"),

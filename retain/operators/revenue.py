@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retain.config import DEFAULT, Config
 from retain.functions.dates import month_label, month_start
-from retain.functions.numeric import ratio, round_half_even, sum_money
+from retain.functions.numeric import MONEY_TYPE, ratio, round_half_even, sum_money
 from retain.functions.rows import add_row
 from retain.operators.features import completed_orders
 from retain.operators.statistics import pearson
@@ -41,7 +41,7 @@ def monthly_summary(orders: DataFrame, last: int | None = None, config: Config =
         .filter(F.col("order_date").isNotNull())
         .groupBy(month_start(F.col("order_date")).alias("_month"), "customer_id")
         .agg(
-            F.sum(F.col("total_amount").cast("decimal(18,4)")).alias("_sum"),
+            F.sum(F.col("total_amount").cast(MONEY_TYPE)).alias("_sum"),
             F.count("order_id").alias("_orders"),
         )
     )
@@ -88,7 +88,7 @@ def mtd_revenue(orders: DataFrame, config: Config = DEFAULT) -> DataFrame:
         completed_orders(orders, config)
         .filter(F.col("order_date").isNotNull())
         .groupBy("order_date")
-        .agg(F.sum(F.col("total_amount").cast("decimal(18,4)")).alias("_revenue"))
+        .agg(F.sum(F.col("total_amount").cast(MONEY_TYPE)).alias("_revenue"))
     )
     month = Window.partitionBy(month_start(F.col("order_date"))).orderBy("order_date")
     to_date = F.sum("_revenue").over(month.rowsBetween(Window.unboundedPreceding, 0))
@@ -119,7 +119,7 @@ def product_sales(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
         .groupBy("product_id")
         .agg(
             F.count(F.lit(1)).alias("purchases"),
-            F.sum(F.col("total_amount").cast("decimal(18,4)")).alias("revenue"),
+            F.sum(F.col("total_amount").cast(MONEY_TYPE)).alias("revenue"),
             (F.sum(units) if units else F.lit(None).cast("long")).alias("units"),
         )
     )

@@ -27,7 +27,7 @@ def score_from_edges(value: Column, edges: Column, descending: bool = False) ->
     Equal edges skip a score, so the result is defined for any distribution.
     """
     above = [
-        (value > round_half_even(F.get(edges, F.lit(i)), 6)).cast("int")
+        (value > F.get(edges, F.lit(i))).cast("int")
         for i in range(len(QUINTILES))
     ]
     score = F.lit(1) + reduce(lambda a, b: a + b, above)

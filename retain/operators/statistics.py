@@ -56,9 +56,7 @@ def histogram(df: DataFrame, column: str, bins: int, cap_at: float | None = None
     """
     values = df.select(F.col(column).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     if cap_at is not None:
-        cap = exact_quantiles(values, ["_x"], [cap_at]).select(
-            round_half_even(F.get("_x", F.lit(0)), 6).alias("_cap")
-        )
+        cap = exact_quantiles(values, ["_x"], [cap_at]).select(F.get("_x", F.lit(0)).alias("_cap"))
         values = values.select(F.least(F.col("_x"), cap.scalar()).alias("_x"))
     span = values.agg(F.min("_x").alias("_min"), F.max("_x").alias("_max"))
     flat = F.col("_min") == F.col("_max")

@@ -42,6 +42,15 @@ def test_quantiles_with_one_dominant_value_and_nulls(spark):
     )
 
 
+def test_quantiles_across_a_gap_stay_narrow(spark):
+    low, high = [1 + i * 1e-9 for i in range(2000)], [1e6 + i * 1e-3 for i in range(2001)]
+    df = spark.createDataFrame([(v,) for v in low + high], "x double")
+    quantiles = exact_quantiles(df, ["x"], [0.25, 0.5], accuracy=20)
+    assert quantiles.first().x == pytest.approx(list(np.quantile(low + high, [0.25, 0.5])), rel=1e-12)
+    text = quantiles._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in text and "CartesianProduct" not in text
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([(None, None)], "x double, y double")
     assert exact_quantiles(empty, ["x"], [0.5]).collect() == []

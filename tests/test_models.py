@@ -29,12 +29,19 @@ def test_auc_with_ties_equals_all_pairs(spark):
     rng = np.random.default_rng(2)
     rows = [(int(rng.integers(0, 2)), 0, float(np.round(rng.random(), int(rng.integers(1, 9))))) for _ in range(300)]
     df = spark.createDataFrame(rows, PREDICTION)
-    for width in (4, 4096):
-        assert evaluation.roc_auc(df, width).first().roc_auc == pytest.approx(auc(rows), abs=5.1e-5)
+    for cells in (1, 7):
+        assert evaluation.roc_auc(df, cells).first().roc_auc == pytest.approx(auc(rows), abs=5.1e-5)
     one_class = df.filter("label = 1")
     assert evaluation.roc_auc(one_class).first().roc_auc is None
 
 
+def test_auc_of_crowded_scores(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.integers(0, 2)), 0, float(s)) for s in np.concatenate([rng.random(150) * 1e-8, 1 - rng.random(150) * 1e-8])]
+    df = spark.createDataFrame(rows, PREDICTION)
+    assert evaluation.roc_auc(df, 5).first().roc_auc == pytest.approx(auc(rows), abs=5.1e-5)
+
+
 def test_metrics_without_positive_predictions(spark):
     df = spark.createDataFrame([(1, 0, 0.1), (0, 0, 0.2)], PREDICTION)
     row = evaluation.classification_metrics(df).first()
@@ -88,6 +95,12 @@ def test_forest_finds_recency(spark):
     assert confusion.agg(F.sum("customers")).first()[0] == fitted.test.count()
 
 
+def test_a_null_id_keeps_its_cluster(spark):
+    df = customers(spark, 40).withColumn("customer_id", F.when(F.col("customer_id") != 7, F.col("customer_id")))
+    clustered, _, _ = kmeans.kmeans_segmentation(df, Config(kmeans_restarts=1))
+    assert clustered.count() == 40 and clustered.filter("customer_id is null and kmeans_cluster is not null").count() == 1
+
+
 def test_clusters_are_named_by_spend(spark):
     df = customers(spark).drop("customer_segment")
     clustered, model, _ = kmeans.kmeans_segmentation(df, Config(kmeans_restarts=2))
