@@ -13,6 +13,7 @@ HEADLINE = [
     "clean_orders", "dq_report", "customer_features", "rfm_segments", "segment_summary",
     "monthly_revenue", "monthly_retention", "cohort_matrix", "top_products", "revenue_by_category",
     "mom_growth", "segment_migration", "corr_with_churn", "welch_t", "star_fact", "kpis",
+    "insights", "churn_predictions", "kmeans_segments", "roc_auc", "dq_distinct",
 ]
 
 

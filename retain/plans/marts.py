@@ -87,12 +87,13 @@ class Analysis:
     churn_model: churn.ChurnModel
     kmeans_model: KMeansModel
     tables: dict[str, DataFrame]
+    welch: dict[str, object]
 
-    def write(self, folder: str, fmt: str = "parquet") -> list[str]:
+    def write(self, folder: str, fmt: str = "parquet", mode: str = "errorifexists") -> list[str]:
         """Write every result table, and the feature table for BI tools."""
         tables = {**self.tables, "customer_features": self.features}
         return [
-            write_table(df, f"{folder.rstrip('/')}/{name}", fmt) for name, df in tables.items()
+            write_table(df, f"{folder.rstrip('/')}/{name}", fmt, mode) for name, df in tables.items()
         ]
 
 
@@ -114,6 +115,8 @@ def run_analysis(raw: Bundle, config: Config = DEFAULT) -> Analysis:
     fitted = churn.train_churn_model(segmented, config)
     importance = churn.feature_importance(fitted)
     metrics, confusion = evaluation.evaluate_model(fitted.predictions)
+    quality = metrics.first().asDict()
+    findings = kpis.insights(segmented, clean.orders, clean.products, clean.order_lines, config)
     tables = {
         "data_quality_report": profiling.data_quality_report(raw),
         "cleaning_summary": cleaning_summary(raw, clean),
@@ -125,8 +128,9 @@ def run_analysis(raw: Bundle, config: Config = DEFAULT) -> Analysis:
         "confusion_matrix": confusion,
         "feature_importances": importance,
         "corr_with_churn": statistics.correlation_analysis(segmented),
-        "insights": kpis.insights(segmented, clean.orders, clean.products, clean.order_lines, config),
+        "insights": findings,
+        "insight_sentences": kpis.insight_sentences(findings, quality),
         **chart_tables(clean, segmented, importance, config),
         **dashboard_tables(clean, segmented, config),
     }
-    return Analysis(clean, segmented, fitted, kmeans_model, tables)
+    return Analysis(clean, segmented, fitted, kmeans_model, tables, statistics.hypothesis_test(segmented, config))

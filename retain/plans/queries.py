@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retain.config import CATEGORICAL_FEATURES, Config
-from retain.functions.numeric import round_half_even
+from retain.functions.numeric import MONEY_TYPE, round_half_even
 from retain.operators import churn, cleaning, evaluation, features, kmeans, kpis, migration
 from retain.operators import profiling, retention, revenue, segmentation, star, statistics
 from retain.session import materialize, shared_path
@@ -59,6 +59,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
+def six_places(df: DataFrame) -> DataFrame:
+    """Amounts to six places: engines differ in the last bit of an interpolated fence."""
+    return df.withColumn("total_amount", round_half_even(F.col("total_amount"), 6))
+
+
 # Inputs ---------------------------------------------------------------------------------
 
 
@@ -101,26 +106,42 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def value_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def values(spark: SparkSession, sf_dir: str, clean: DataFrame | None = None) -> DataFrame:
     """Customers with recency, frequency, monetary value, lifetime value and churn flag.
 
-    Written once, because quantile edges and scaling read it several times. Categories and
-    reviews play no part in segments; their joins drop out of the plan unread columns and
-    all, so the table is built without them.
+    Categories and reviews play no part in segments, so the table is built without them.
+    `clean` are cleaned orders that the caller needs too.
     """
-    rfm = features.build_rfm(orders(spark, sf_dir), CONFIG)
+    rfm = features.build_rfm(orders(spark, sf_dir) if clean is None else clean, CONFIG)
     valued = features.build_churn_flag(features.build_clv(rfm, CONFIG), CONFIG)
     base = customers(spark, sf_dir).select("customer_id", "registration_date")
-    table = features.fill_absent(base.join(valued, "customer_id", "left"), CONFIG)
-    return materialize(table, "value")
+    return features.fill_absent(base.join(valued, "customer_id", "left"), CONFIG)
+
+
+def value_table(spark: SparkSession, sf_dir: str, clean: DataFrame | None = None) -> DataFrame:
+    """`values`, written once for readers that pass over it more than once (edges, scaling)."""
+    return materialize(values(spark, sf_dir, clean), "value")
+
+
+def numeric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numeric features alone: no order lines, products or categories."""
+    rfm = features.build_rfm(orders(spark, sf_dir), CONFIG)
+    valued = features.build_churn_flag(features.build_clv(rfm, CONFIG), CONFIG)
+    stars = features.build_review_features(reviews(spark, sf_dir))
+    joined = customers(spark, sf_dir).join(valued, "customer_id", "left").join(stars, "customer_id", "left")
+    return features.fill_absent(joined, CONFIG)
 
 
 def full_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(feature_table(spark, sf_dir), "features")
 
 
-def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segmentation.rfm_segmentation(value_table(spark, sf_dir))
+def segmented(spark: SparkSession, sf_dir: str, clean: DataFrame | None = None) -> DataFrame:
+    return segmentation.rfm_segmentation(value_table(spark, sf_dir, clean))
+
+
+def clean_orders_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(orders(spark, sf_dir), "orders")
 
 
 def stand_in_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +174,7 @@ def scan_counts(spark, sf_dir):
             df.agg(
                 F.count(F.lit(1)).alias("rows"),
                 (F.count(dates[name]) if name in dates else F.lit(0).cast("long")).alias("dated"),
-                F.sum(F.col(amounts[name]).cast("decimal(18,4)")).cast("double").alias("total"),
+                F.sum(F.col(amounts[name]).cast(MONEY_TYPE)).cast("double").alias("total"),
             ).select(F.lit(name).alias("table_name"), "*")
             for name, df in bundle.items()
         ],
@@ -178,7 +199,8 @@ def parse_dates(spark, sf_dir):
     key = F.col("o_orderkey") % 41
     text = (
         F.when(key == 0, "not a date").when(key == 1, F.date_format(day, "dd/MM/yyyy"))
-        .when(key == 2, "2001-02-30").otherwise(F.date_format(day, "yyyy-MM-dd"))
+        .when(key == 2, "2001-02-30").when(key == 3, F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
+        .when(key == 4, F.date_format(day, "yyyy/MM/dd")).otherwise(F.date_format(day, "yyyy-MM-dd"))
     )
     return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.col("o_orderkey").alias("order_id"), parse_date(text).alias("order_date")
@@ -192,14 +214,15 @@ def table_summary(spark, sf_dir):
 
 @query
 def feature_export(spark, sf_dir):
-    """The feature table written for BI tools and read back."""
-    path = write_table(feature_table(spark, sf_dir), shared_path(spark, "export"))
-    return spark.read.parquet(path)
+    """The feature table written for BI tools as CSV and read back with its types."""
+    table = feature_table(spark, sf_dir)
+    path = write_table(table, shared_path(spark, "export"), "csv")
+    return spark.read.option("header", True).option("escape", '"').schema(table.schema).csv(path)
 
 
 @query
 def feature_sample(spark, sf_dir):
-    return features.feature_sample(value_table(spark, sf_dir))
+    return features.feature_sample(values(spark, sf_dir))
 
 
 # Profile --------------------------------------------------------------------------------
@@ -299,15 +322,15 @@ def coerce_numeric(spark, sf_dir):
 
 @query
 def iqr_cap(spark, sf_dir):
-    return cleaning.cap_outliers(
-        retail_star.orders(spark, sf_dir).select("order_id", "total_amount"), "total_amount"
+    return six_places(
+        cleaning.cap_outliers(retail_star.orders(spark, sf_dir).select("order_id", "total_amount"), "total_amount")
     )
 
 
 @query
 def iqr_fences(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return cleaning.iqr_fences(events, "value")
+    return rounded(cleaning.iqr_fences(events, "value"), 4)
 
 
 @query
@@ -317,12 +340,12 @@ def clean_customers(spark, sf_dir):
 
 @query
 def clean_orders(spark, sf_dir):
-    return cleaning.clean_orders(raw_bundle(spark, sf_dir).orders)
+    return six_places(cleaning.clean_orders(raw_bundle(spark, sf_dir).orders))
 
 
 @query
 def clean_order_lines(spark, sf_dir):
-    return lines(spark, sf_dir)
+    return six_places(lines(spark, sf_dir))
 
 
 @query
@@ -384,7 +407,7 @@ def customer_features(spark, sf_dir):
 
 @query
 def feature_summary(spark, sf_dir):
-    return features.feature_summary(value_table(spark, sf_dir))
+    return features.feature_summary(values(spark, sf_dir))
 
 
 # Segments -------------------------------------------------------------------------------
@@ -468,6 +491,22 @@ def kmeans_segments(spark, sf_dir):
     return clustered.select("customer_id", "kmeans_cluster", "kmeans_segment")
 
 
+@query
+def kmeans_given_centres(spark, sf_dir):
+    """Assignment to fixed centres, medians and names: the part of k-means that is not a fit."""
+    table = value_table(spark, sf_dir)
+    scaled = rounded(kmeans.kmeans_scaled(kmeans.kmeans_inputs(table)), 4)
+    clusters = kmeans.nearest_centre(scaled, [(-1.0, -1.0, -1.0), (0.0, 0.0, 0.0), (1.0, 1.0, 1.0), (1.0, -1.0, 0.0)])
+    placed = table.join(clusters.select("customer_id", "kmeans_cluster"), "customer_id")
+    return kmeans.cluster_names(kmeans.kmeans_profile(placed))
+
+
+@query
+def kmeans_counts(spark, sf_dir):
+    clustered, _, _ = kmeans.kmeans_segmentation(value_table(spark, sf_dir), CONFIG)
+    return segmentation.value_counts(clustered, "kmeans_segment")
+
+
 # Revenue and retention ------------------------------------------------------------------
 
 
@@ -551,7 +590,8 @@ def revenue_by_channel(spark, sf_dir):
 
 @query
 def kpi_cards(spark, sf_dir):
-    return kpis.kpis(segmented(spark, sf_dir), orders(spark, sf_dir), reviews(spark, sf_dir))
+    clean = clean_orders_once(spark, sf_dir)
+    return kpis.kpis(segmented(spark, sf_dir, clean), clean, reviews(spark, sf_dir))
 
 
 QUERIES["kpis"] = QUERIES.pop("kpi_cards")
@@ -559,14 +599,15 @@ QUERIES["kpis"] = QUERIES.pop("kpi_cards")
 
 @query
 def kpi_targets(spark, sf_dir):
-    clean = materialize(orders(spark, sf_dir), "orders")
-    return kpis.kpi_targets(segmented(spark, sf_dir), clean, reviews(spark, sf_dir))
+    clean = clean_orders_once(spark, sf_dir)
+    return kpis.kpi_targets(segmented(spark, sf_dir, clean), clean, reviews(spark, sf_dir))
 
 
 @query
 def insights(spark, sf_dir):
+    clean = clean_orders_once(spark, sf_dir)
     return kpis.insights(
-        segmented(spark, sf_dir), orders(spark, sf_dir), products(spark, sf_dir),
+        segmented(spark, sf_dir, clean), clean, products(spark, sf_dir),
         materialize(lines(spark, sf_dir), "lines"),
     )
 
@@ -578,7 +619,7 @@ def insight_sentences(spark, sf_dir):
 
 @query
 def customer_funnel(spark, sf_dir):
-    return kpis.customer_funnel(value_table(spark, sf_dir))
+    return kpis.customer_funnel(values(spark, sf_dir))
 
 
 @query
@@ -598,7 +639,7 @@ def stock_vs_demand(spark, sf_dir):
 
 @query
 def clv_vs_frequency(spark, sf_dir):
-    return kpis.clv_vs_frequency(value_table(spark, sf_dir))
+    return kpis.clv_vs_frequency(values(spark, sf_dir))
 
 
 @query
@@ -618,8 +659,8 @@ def dim_date(spark, sf_dir):
 
 @query
 def star_fact(spark, sf_dir):
-    return star.star_fact(
-        lines(spark, sf_dir), customers(spark, sf_dir), products(spark, sf_dir), payments(spark, sf_dir)
+    return six_places(
+        star.star_fact(lines(spark, sf_dir), customers(spark, sf_dir), products(spark, sf_dir), payments(spark, sf_dir))
     )
 
 
@@ -632,6 +673,7 @@ def sliced_revenue(spark, sf_dir):
         segments=["BUILDING", "MACHINERY"],
         categories=["ECONOMY", "STANDARD", "PROMO"],
         channels=["1-URGENT", "2-HIGH"],
+        states=["FRANCE", "GERMANY", "INDIA", "CHINA", "BRAZIL", "CANADA", "KENYA", "PERU", "JAPAN", "IRAN"],
     )
     return star.revenue_by_month_and_channel(sliced)
 
@@ -667,17 +709,17 @@ def clv_box_by_churn(spark, sf_dir):
 
 @query
 def corr_with_churn(spark, sf_dir):
-    return statistics.correlation_analysis(full_table(spark, sf_dir))
+    return statistics.correlation_analysis(numeric_table(spark, sf_dir))
 
 
 @query
 def corr_matrix(spark, sf_dir):
-    return statistics.correlation_matrix(full_table(spark, sf_dir))
+    return statistics.correlation_matrix(numeric_table(spark, sf_dir))
 
 
 @query
 def welch_t(spark, sf_dir):
-    return statistics.welch(value_table(spark, sf_dir)).drop("_t", "_df")
+    return statistics.welch(values(spark, sf_dir)).drop("_t", "_df")
 
 
 # Churn model ----------------------------------------------------------------------------
@@ -702,7 +744,8 @@ def class_weights(spark, sf_dir):
 @query
 def stratified_split(spark, sf_dir):
     table = value_table(spark, sf_dir).select("customer_id", "churned")
-    return churn.stratified_split(table, config=CONFIG)
+    # A draw that SQL can state too.
+    return churn.stratified_split(table, config=CONFIG, draw=(F.col("customer_id") * 7919) % 10007)
 
 
 @query
@@ -728,3 +771,10 @@ def roc_auc(spark, sf_dir):
 @query
 def confusion_matrix(spark, sf_dir):
     return evaluation.confusion_matrix(stand_in_predictions(spark, sf_dir))
+
+
+@query
+def model_metrics(spark, sf_dir):
+    """The five metrics of the trained model on its test rows."""
+    fitted = churn.train_churn_model(full_table(spark, sf_dir), CONFIG)
+    return evaluation.evaluate_model(materialize(fitted.predictions, "predictions"))[0]
