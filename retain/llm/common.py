@@ -27,7 +27,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Have the session's Python workers import this package, wherever the session was started."""
+    """Have the session's Python workers import this package, wherever the session was started.
+
+    As with `--py-files`, Spark copies the archive from the driver to each executor.
+    """
     sc = spark.sparkContext
     if getattr(sc, "_retain_shipped", False):
         return

@@ -73,6 +73,7 @@ def run_stream(
 
     A second call with the same checkpoint reads only files that are new.
     """
+    path = path.rstrip("/")
     schema = spark.read.parquet(path).schema
     glob = f"{path[:-1]}[{path[-1]}]"  # a file source takes a single file only as a pattern
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(glob)

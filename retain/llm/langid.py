@@ -14,6 +14,7 @@ held out; repeated rows get equal predictions; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,7 @@ GRAM = 4
 BUCKETS = 1 << 16
 SEGMENT = 128
 PER_LANGUAGE = 4000  # labelled documents that a language's model is counted on, at most about
+DRAWS = 1 << 40  # a document's draw lies below this, finer than any share of a corpus
 ROUNDS = 25
 MARGIN = 12.0  # log likelihood that another language must add besides the penalty
 
@@ -153,9 +155,9 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros(0))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(DRAWS))
     quota = rows.sparkSession.createDataFrame(
-        [(lang, int(1_000_000 * min(1.0, per_language / n))) for lang, n in sizes.items()], "lang string, quota long"
+        [(lang, math.ceil(DRAWS * min(1.0, per_language / n))) for lang, n in sizes.items()], "lang string, quota long"
     )
     sample = rows.join(F.broadcast(quota), "lang").filter(draw < F.col("quota")).select("lang", "text")
 

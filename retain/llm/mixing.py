@@ -81,7 +81,7 @@ def mix(
     offsets = cell_offsets(cells.select(*cell, "n"), ["key"], ["class"], "sub", "n", "before")
     plan = materialize(offsets.join(goal, "key").drop("n"), "plan")
 
-    place = F.col("before") + F.row_number().over(Window.partitionBy(*cell).orderBy("line", "doc_id"))
+    place = F.col("before") + F.row_number().over(Window.partitionBy(*cell).orderBy("line", "doc_id", "size"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = unit_hash(F.lit(seed), F.col("key"))
     copies = F.floor(F.col("place") * F.col("rate") + F.col("offset")) - F.floor((F.col("place") - 1) * F.col("rate") + F.col("offset"))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retain.llm.words import SPACED, _powers, mixed, runs, seeds, text_bytes
+from retain.llm.words import SPACED, mixed, powers, runs, seeds, text_bytes
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the splitting pattern that the vocabulary was made with.
@@ -78,7 +78,7 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         starts = np.union1d(self.cuts(data), offsets[:-1][np.diff(offsets) > 0])
         ends = np.append(starts[1:], n)
-        up, down = _powers.get(n)
+        up, down = powers.get(n)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[data] * up)])
         hashes = mixed((sums[ends] - sums[starts]) * down[starts]) ^ (ends - starts).astype(np.uint64)
         distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)

@@ -71,7 +71,7 @@ class _Powers:
         return out
 
 
-_powers = _Powers()
+powers = _Powers()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +111,7 @@ class Words:
             end[at - 1] = word[at - 1]
         self.starts, self.ends = np.flatnonzero(start), np.flatnonzero(end) + 1
         self.first = np.searchsorted(self.starts, offsets)
-        up, down = _powers.get(max(n, 1))
+        up, down = powers.get(max(n, 1))
         sums = np.empty(n + 1, np.uint64)
         sums[0] = 0
         np.cumsum(_VALUES[data] * up, out=sums[1:])
