@@ -147,19 +147,10 @@ def digests_of(words: Words) -> list[bytes]:
     return [hashlib.blake2b(words.hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds, bounds[1:])]
 
 
-def only_digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        yield pa.array([d for words in word_runs(texts, SPACED) for d in digests_of(words)], pa.binary())
-
-
 def sketch(text: Column) -> Column:
     return F.arrow_udf(sketches_of, SKETCH)(text)
 
 
-def digest(text: Column) -> Column:
-    return F.arrow_udf(only_digests, "binary")(text)
-
-
 def band_keys(registers: Column) -> Column:
     width = 2 * ROWS
     return F.transform(
@@ -268,15 +259,18 @@ class Finder:
 
     def __init__(self, docs: DataFrame, percent: int):
         self.percent = percent
-        self.docs = docs.select("doc_id", "text")
-        made = self.docs.select("doc_id", sketch(F.col("text")).alias("s"))
-        self.rows = materialize(made.select("doc_id", "s.digest", "s.n", "s.registers"), "sketches")
+        made = docs.select("doc_id", "text", sketch(F.col("text")).alias("s"), F.monotonically_increasing_id().alias("row"))
+        self.rows = materialize(made.select("row", "doc_id", "text", "s.digest", "s.n", "s.registers"), "sketches")
+        # A class is called by one of its rows, whose text stands for it.
         grouped = self.rows.groupBy("digest").agg(
-            F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.max("registers").alias("registers"),
-            F.count(F.lit(1)).alias("copies"),
+            F.min("row").alias("cls"), F.min("doc_id").alias("first_id"), F.max("n").alias("n"),
+            F.max("registers").alias("registers"), F.count(F.lit(1)).alias("copies"),
         )
-        self.classes = materialize(grouped.withColumn("cls", F.monotonically_increasing_id()), "classes")
+        self.classes = materialize(grouped, "classes")
         self.members = materialize(self.bucketed(), "members")
+        candidates = self.members.select(F.col("cls").alias("row")).distinct()
+        texts = self.rows.select("row", "text").join(candidates, "row")
+        self.texts = materialize(texts.withColumnRenamed("row", "cls"), "texts")
 
     def bucketed(self) -> DataFrame:
         """(key, cls, n) of all buckets with more than one class."""
@@ -294,18 +288,10 @@ class Finder:
             pairs.filter(fits).filter(plausible(self.percent)("n_a", "n_b", "registers_a", "registers_b")).select("a", "b"),
             f"{label}-plausible",
         )
-        wanted = close.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        texts = materialize(self.texts(wanted), f"{label}-texts")
         for side in "ab":
-            close = close.join(texts.select(F.col("cls").alias(side), F.col("text").alias(f"text_{side}")), side)
+            close = close.join(self.texts.select(F.col("cls").alias(side), F.col("text").alias(f"text_{side}")), side)
         return materialize(close.filter(similar(self.percent)("text_a", "text_b")).select("a", "b"), f"{label}-links")
 
-    def texts(self, wanted: DataFrame) -> DataFrame:
-        """One text per wanted class: rows with the class's first id and its digest."""
-        ids = self.classes.join(wanted, "cls").select("cls", "first_id", F.col("digest").alias("own"))
-        found = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("cls", "text", "own")
-        return found.filter(digest(F.col("text")) == F.col("own")).groupBy("cls").agg(F.max("text").alias("text"))
-
     def components(self) -> DataFrame:
         """(cls, comp) of all classes that share a bucket.
 
@@ -345,8 +331,7 @@ class Finder:
         every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         few = placed.filter("comp != largest").select("key", "cls", "comp", F.lit(True).alias("few"), F.col("own").alias("i"), every.alias("j"))
         all_ = placed.select("key", "cls", "comp", F.lit(False).alias("few"), every.alias("i"), F.col("own").alias("j"))
-        texts = materialize(self.texts(open_.select("cls").distinct()), "rest-texts")
-        blocks = few.unionByName(all_).join(texts, "cls")
+        blocks = few.unionByName(all_).join(self.texts, "cls")
         return blocks.groupBy("key", "i", "j").applyInArrow(linked_rows(self.percent), "a long, b long")
 
     def joined(self, comp: DataFrame, links: DataFrame) -> DataFrame:
@@ -392,10 +377,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     comp = finder.components()
     linked = finder.classes.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    labels = linked.join(least, "comp").select("digest", "component_id", "copies")
+    labels = materialize(linked.join(least, "comp").select("digest", "component_id", "copies"), "labels")
     rows = attach(
-        finder.rows.select("doc_id", "n", "digest"), labels, "digest", "copies",
-        F.xxhash64(F.coalesce("doc_id", F.monotonically_increasing_id())),
+        finder.rows.select("row", "doc_id", "n", "digest"), labels, "digest", "copies", F.xxhash64("row"),
     )
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.select(
