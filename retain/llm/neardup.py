@@ -1,9 +1,10 @@
 """Near-duplicate documents by SetSketch registers.
 
-A document is the set of its 3-word shingles. A SetSketch keeps, for each of 180 hash functions,
-the smallest exponentially distributed hash over the set, truncated to a step of a geometric
-scale (base 1.001); the registers of a union are the registerwise maxima. Six registers form a
-band; documents that agree in a band are candidates. A pair's similarity is then estimated from
+A document is the set of its word shingles (five words by default). A SetSketch keeps, for each
+of 180 hash functions, the smallest exponentially distributed hash over the set, truncated to a
+step of a geometric scale (base 1.001); the registers of a union are the registerwise maxima. Some
+registers form a band (five at similarity 0.8, six at 0.85); documents that agree in a band are
+candidates. A pair's similarity is then estimated from
 all registers by maximum likelihood, given both set sizes, and pairs that are not clearly below
 the threshold are verified on their full sets.
 
@@ -15,7 +16,7 @@ component, by matrix products of bounded size that return only connecting links.
 mutual copies costs one test per member, and no link that a band shows is lost.
 
 Defined cases: null, empty and white-space texts have no shingles, link with nothing and are
-their own component; texts of fewer than three words are one shingle; the
+their own component; texts with fewer words than a shingle are one; the
 smallest id ignores nulls, a component without any id has a null component_id, and a row with a
 null id is never `kept`, though `keep_one` leaves it; rows that repeat an id are separate members
 with the same id; other columns are not read.
@@ -34,10 +35,9 @@ from pyspark.sql import functions as F
 from retain.llm.common import attach, materialize
 from retain.llm.words import SPACED, Words, mixed, seeds, word_runs
 
-SHINGLE = 3
-PERCENT = 85
-BANDS, ROWS = 30, 6
-REGISTERS = BANDS * ROWS
+SHINGLE, PERCENT = 5, 80  # words of a shingle, least similarity
+REGISTERS = 180
+MISS = 2e-6  # chance that a pair at the threshold shares no band, at most
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 SLACK = 5.0  # standard errors below the threshold at which an estimate is ruled out
 PIVOT_ROUNDS = 3
@@ -48,10 +48,18 @@ _MULTIPLY = seeds(REGISTERS, 77) | np.uint64(1)
 SKETCH = "digest binary, n bigint, registers binary"
 
 
+def band_rows(percent: int) -> int:
+    """Registers of a band: as many as the allowed miss lets be, as wider bands have fewer candidates."""
+    for rows in range(REGISTERS, 1, -1):
+        if (1 - (percent / 100) ** rows) ** (REGISTERS // rows) <= MISS:
+            return rows
+    return 1
+
+
 # Sets and sketches of single documents --------------------------------------------------
 
 
-def shingle_sets(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts' sets of shingle hashes, one after the other, and the n + 1 offsets."""
     h, sets = words.hashes, []
     if len(h) >= size:
@@ -125,21 +133,25 @@ def estimate(n_left: np.ndarray, n_right: np.ndarray, left: np.ndarray, right: n
 # Columns --------------------------------------------------------------------------------
 
 
-def sketches_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def sketch(text: Column, size: int) -> Column:
     """Digest of the word sequence, number of shingles and registers (null without words)."""
-    for texts in batches:
-        digests, sizes, packed = [], [], []
-        for words in word_runs(texts, SPACED):
-            elements, offsets = shingle_sets(words)
-            n = np.diff(offsets)
-            rows = iter(registers(elements, offsets))
-            sizes += n.tolist()
-            packed += [next(rows).astype(">u2").tobytes() if k else None for k in n]
-            digests += digests_of(words)
-        yield pa.StructArray.from_arrays(
-            [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
-            ["digest", "n", "registers"],
-        )
+
+    def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            digests, sizes, packed = [], [], []
+            for words in word_runs(texts, SPACED):
+                elements, offsets = shingle_sets(words, size)
+                n = np.diff(offsets)
+                rows = iter(registers(elements, offsets))
+                sizes += n.tolist()
+                packed += [next(rows).astype(">u2").tobytes() if k else None for k in n]
+                digests += digests_of(words)
+            yield pa.StructArray.from_arrays(
+                [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
+                ["digest", "n", "registers"],
+            )
+
+    return F.arrow_udf(make, SKETCH)(text)
 
 
 def digests_of(words: Words) -> list[bytes]:
@@ -147,14 +159,10 @@ def digests_of(words: Words) -> list[bytes]:
     return [hashlib.blake2b(words.hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds, bounds[1:])]
 
 
-def sketch(text: Column) -> Column:
-    return F.arrow_udf(sketches_of, SKETCH)(text)
-
-
-def band_keys(registers: Column) -> Column:
-    width = 2 * ROWS
+def band_keys(registers: Column, rows: int) -> Column:
+    width = 2 * rows
     return F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        F.sequence(F.lit(0), F.lit(REGISTERS // rows - 1)),
         lambda i: F.xxhash64(i, registers.substr(i * F.lit(width) + F.lit(1), F.lit(width))),
     )
 
@@ -173,7 +181,7 @@ def plausible(percent: int) -> Column:
     return test
 
 
-def similar(percent: int):
+def similar(percent: int, size: int):
     """Whether two texts' full sets reach the threshold."""
 
     @F.arrow_udf("boolean")
@@ -184,7 +192,7 @@ def similar(percent: int):
                 sets = []
                 for side in (left, right):
                     for words in word_runs(side.slice(at, 64), SPACED):
-                        elements, offsets = shingle_sets(words)
+                        elements, offsets = shingle_sets(words, size)
                         sets += np.split(elements, offsets[1:-1])
                 half = len(sets) // 2
                 for x, y in zip(sets[:half], sets[half:]):
@@ -218,7 +226,7 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out
 
 
-def linked_rows(percent: int):
+def linked_rows(percent: int, size: int):
     """A function for the rows of two blocks: links between rows of different components."""
 
     def test(block: pa.Table) -> pa.Table:
@@ -226,7 +234,7 @@ def linked_rows(percent: int):
         cls, comp = block.column("cls").to_numpy(), block.column("comp").to_numpy()
         sets = []
         for words in word_runs(block.column("text").combine_chunks(), SPACED):
-            elements, offsets = shingle_sets(words)
+            elements, offsets = shingle_sets(words, size)
             sets += np.split(elements, offsets[1:-1])
         links, root = [], {}
 
@@ -237,9 +245,9 @@ def linked_rows(percent: int):
 
         x, y = np.flatnonzero(few), np.flatnonzero(~few)
         if len(x) and len(y):
-            size = np.array([len(s) for s in sets])
+            held = np.array([len(s) for s in sets])
             both = common_counts([sets[i] for i in x], [sets[i] for i in y])
-            either = size[x][:, None] + size[y][None, :] - both
+            either = held[x][:, None] + held[y][None, :] - both
             similar = (both > 0) & (100 * both.astype(np.float64) >= percent * either) & (comp[x][:, None] != comp[y][None, :])
             for i, j in zip(*np.nonzero(similar)):
                 a, b = top(int(comp[x[i]])), top(int(comp[y[j]]))
@@ -257,9 +265,9 @@ def linked_rows(percent: int):
 class Finder:
     """The tables of one run: classes, buckets and the texts that tests read."""
 
-    def __init__(self, docs: DataFrame, percent: int):
-        self.percent = percent
-        made = docs.select("doc_id", "text", sketch(F.col("text")).alias("s"), F.monotonically_increasing_id().alias("row"))
+    def __init__(self, docs: DataFrame, percent: int, size: int):
+        self.percent, self.size = percent, size
+        made = docs.select("doc_id", "text", sketch(F.col("text"), size).alias("s"), F.monotonically_increasing_id().alias("row"))
         self.rows = materialize(made.select("row", "doc_id", "text", "s.digest", "s.n", "s.registers"), "sketches")
         # A class is called by one of its rows, whose text stands for it.
         grouped = self.rows.groupBy("digest").agg(
@@ -274,7 +282,7 @@ class Finder:
 
     def bucketed(self) -> DataFrame:
         """(key, cls, n) of all buckets with more than one class."""
-        bands = self.classes.filter("n > 0").select("cls", "n", F.explode(band_keys(F.col("registers"))).alias("key"))
+        bands = self.classes.filter("n > 0").select("cls", "n", F.explode(band_keys(F.col("registers"), band_rows(self.percent))).alias("key"))
         shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
         return bands.join(shared.select("key"), "key")
 
@@ -290,7 +298,7 @@ class Finder:
         )
         for side in "ab":
             close = close.join(self.texts.select(F.col("cls").alias(side), F.col("text").alias(f"text_{side}")), side)
-        return materialize(close.filter(similar(self.percent)("text_a", "text_b")).select("a", "b"), f"{label}-links")
+        return materialize(close.filter(similar(self.percent, self.size)("text_a", "text_b")).select("a", "b"), f"{label}-links")
 
     def components(self) -> DataFrame:
         """(cls, comp) of all classes that share a bucket.
@@ -332,7 +340,7 @@ class Finder:
         few = placed.filter("comp != largest").select("key", "cls", "comp", F.lit(True).alias("few"), F.col("own").alias("i"), every.alias("j"))
         all_ = placed.select("key", "cls", "comp", F.lit(False).alias("few"), every.alias("i"), F.col("own").alias("j"))
         blocks = few.unionByName(all_).join(self.texts, "cls")
-        return blocks.groupBy("key", "i", "j").applyInArrow(linked_rows(self.percent), "a long, b long")
+        return blocks.groupBy("key", "i", "j").applyInArrow(linked_rows(self.percent, self.size), "a long, b long")
 
     def joined(self, comp: DataFrame, links: DataFrame) -> DataFrame:
         """The components with the links (a, b) added."""
@@ -371,9 +379,9 @@ def contract(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs`."""
-    finder = Finder(docs, percent)
+    finder = Finder(docs, percent, size)
     comp = finder.components()
     linked = finder.classes.join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = linked.groupBy("comp").agg(F.min("first_id").alias("component_id"))
@@ -388,9 +396,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """`docs` without the documents that near-duplicate one with a smaller id; columns unchanged."""
-    dropped = near_duplicates(docs, percent).filter("not kept").select(F.col("doc_id").alias("_dropped"))
+    dropped = near_duplicates(docs, percent, size).filter("not kept").select(F.col("doc_id").alias("_dropped"))
     return docs.join(dropped.distinct(), F.col("doc_id") == F.col("_dropped"), "left_anti")
 
 

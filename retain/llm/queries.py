@@ -60,7 +60,7 @@ def op6_collapse_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), percent=85, size=3)
 
 
 @query

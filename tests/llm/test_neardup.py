@@ -11,13 +11,13 @@ from retain.llm.common import read
 from retain.llm.words import SPACED, word_runs
 
 
-def shingles(text):
+def shingles(text, size=3):
     w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else ({tuple(w)} if w else set())
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
 
 
-def brute(table):
-    sets = [shingles(t) for _, t in table]
+def brute(table, percent=85, size=3):
+    sets = [shingles(t, size) for _, t in table]
     root = list(range(len(table)))
 
     def top(i):
@@ -28,7 +28,7 @@ def brute(table):
     for i in range(len(table)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 root[top(i)] = top(j)
     least = {}
     for i, (d, _) in enumerate(table):
@@ -46,7 +46,7 @@ def got(df):
 def test_driver_rows_against_brute_force(spark):
     docs = read(spark, "/root/testdata/sf0.001", "documents")
     table = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    assert got(neardup.near_duplicates(docs)) == brute(table)
+    assert got(neardup.near_duplicates(docs, 85, 3)) == brute(table)
 
 
 def test_chains_and_crowded_buckets(spark, frame, monkeypatch):
@@ -63,11 +63,11 @@ def test_chains_and_crowded_buckets(spark, frame, monkeypatch):
         for _ in range(draw.randint(0, 5)):
             other[draw.randrange(120)] = f"z{draw.randint(0, 10**6)}"
         table.append((2000 + i, " ".join(other)))
-    assert got(neardup.near_duplicates(frame(table))) == brute(table)
+    assert got(neardup.near_duplicates(frame(table), 85, 3)) == brute(table)
 
 
 def test_edge_cases(spark, frame):
-    out = neardup.near_duplicates(frame(EDGE))
+    out = neardup.near_duplicates(frame(EDGE), 85, 3)
     assert got(out) == brute(EDGE)
     for r in out.collect():
         assert r["kept"] == (r["doc_id"] is not None and r["doc_id"] == r["component_id"])
@@ -81,12 +81,16 @@ def test_keep_one(spark, frame):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "4", "None"]
 
 
+def test_bands_miss_almost_nothing():
+    assert (neardup.band_rows(80), neardup.band_rows(85)) == (5, 6)
+
+
 def test_sketches_merge_and_estimate():
     text = lambda w: " ".join(w)
     left = [f"a{i}" for i in range(400)]
     right = left[:300] + [f"b{i}" for i in range(100)]
     (words,) = word_runs(pa.array([text(left), text(right)]), SPACED)
-    elements, offsets = neardup.shingle_sets(words)
+    elements, offsets = neardup.shingle_sets(words, 3)
     made = neardup.registers(elements, offsets)
     union = np.unique(elements)
     assert (neardup.merged(made[0], made[1]) == neardup.registers(union, np.array([0, len(union)]))[0]).all()
