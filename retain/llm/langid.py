@@ -234,6 +234,12 @@ def predict(docs: DataFrame) -> DataFrame:
 
 
 def accept(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose text is in some language, columns unchanged."""
+    """The rows of `docs` whose text has a letter, columns unchanged.
+
+    Inference finds some language in every such text (one that is labelled `und` too), so it
+    rejects none of them; without labelled rows there is nothing to infer from and all stay.
+    """
     model = train(docs)
-    return docs.filter(identify(model, F.col("text")).getField("lang") != UNKNOWN)
+    if not model.langs:
+        return docs.filter(has_letter(F.col("text")))
+    return docs.filter(F.size(identify(model, F.col("text")).getField("langs")) > 0)

@@ -45,6 +45,13 @@ def test_accept_keeps_rows_with_letters(spark, frame):
     assert kept.schema == docs.schema and sorted(r["doc_id"] for r in kept.collect()) == [1, 4]
 
 
+def test_accept_without_labels_keeps_rows_with_letters(spark, frame):
+    table = [(1, "hello there"), (2, "..."), (3, None), (4, "ü"), (5, "")]
+    assert sorted(r["doc_id"] for r in langid.accept(frame(table)).collect()) == [1, 4]
+    labelled = [(1, "hello there", "und"), (2, "...", "und"), (3, None, "en"), (4, "word", None)]
+    assert sorted(r["doc_id"] for r in langid.accept(frame(labelled)).collect()) == [1, 4]
+
+
 def test_bucket_ids_hold_out_a_quarter(spark):
     n = spark.range(4000).filter(langid.held_out(F.col("id"))).count()
     assert 800 < n < 1200
