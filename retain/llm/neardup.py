@@ -18,8 +18,9 @@ mutual copies costs one test per member, and no link that a band shows is lost.
 Defined cases: null, empty and white-space texts have no shingles, link with nothing and are
 their own component; texts with fewer words than a shingle are one; the
 smallest id ignores nulls, a component without any id has a null component_id, and a row with a
-null id is never `kept`, though `keep_one` leaves it; rows that repeat an id are separate members
-with the same id; other columns are not read.
+null id is never `kept`; rows that repeat an id are separate members with the same id; other
+columns are not read. `keep_one` decides row by row, whatever the ids: one row of each component
+stays, that with the smallest id, a null id last, and of rows with this id the first one read.
 """
 
 from __future__ import annotations
@@ -265,10 +266,12 @@ def linked_rows(percent: int, size: int):
 class Finder:
     """The tables of one run: classes, buckets and the texts that tests read."""
 
-    def __init__(self, docs: DataFrame, percent: int, size: int):
+    def __init__(self, docs: DataFrame, percent: int, size: int, others: list[Column] | None = None):
+        """`others` are further columns, kept in the struct `others` of each row."""
         self.percent, self.size = percent, size
-        made = docs.select("doc_id", "text", sketch(F.col("text"), size).alias("s"), F.monotonically_increasing_id().alias("row"))
-        self.rows = materialize(made.select("row", "doc_id", "text", "s.digest", "s.n", "s.registers"), "sketches")
+        held = [F.struct(*others).alias("others")] if others else []
+        made = docs.select("doc_id", "text", sketch(F.col("text"), size).alias("s"), F.monotonically_increasing_id().alias("row"), *held)
+        self.rows = materialize(made.select("row", "doc_id", "text", "s.digest", "s.n", "s.registers", *["others"] * len(held)), "sketches")
         # A class is called by one of its rows, whose text stands for it.
         grouped = self.rows.groupBy("digest").agg(
             F.min("row").alias("cls"), F.min("doc_id").alias("first_id"), F.max("n").alias("n"),
@@ -397,8 +400,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """`docs` without the documents that near-duplicate one with a smaller id; columns unchanged."""
-    dropped = near_duplicates(docs, percent, size).filter("not kept").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped.distinct(), F.col("doc_id") == F.col("_dropped"), "left_anti")
-
-
+    """One row of each component of `docs`, and every row without shingles; columns unchanged."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    finder = Finder(docs, percent, size, [F.col(f"`{c}`") for c in others])
+    comp = finder.components()
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    firsts = finder.rows.filter("n > 0").groupBy("digest").agg(F.min(order).alias("first"))
+    linked = finder.classes.select("cls", "digest").join(comp, "cls", "left").join(firsts, "digest")
+    chosen = linked.groupBy(F.coalesce("comp", "cls").alias("comp")).agg(F.min("first").alias("first")).select("first.row")
+    left = finder.rows.join(chosen.union(finder.rows.filter("n = 0").select("row")), "row", "left_semi")
+    return left.select(*[F.col(f"others.`{c}`") if c in others else F.col(c) for c in docs.columns])

@@ -81,6 +81,17 @@ def test_keep_one(spark, frame):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "4", "None"]
 
 
+def test_keep_one_decides_per_row(spark, frame):
+    same = "a b c d e f"
+    docs = frame([(1, same), (2, "A b c d e f"), (2, "only here"), (3, "x y z"), (3, "x y z"), (None, "q"), (None, "q"), (None, same), (4, ""), (4, "")])
+    kept = neardup.keep_one(docs)
+    assert kept.schema == docs.schema
+    want = [(1, same), (2, "only here"), (3, "x y z"), (None, "q"), (4, ""), (4, "")]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    assert {(r["row"], r["cls"]) for r in kept.collect()} == {("r", 5)}
+    assert neardup.keep_one(frame([])).count() == 0
+
+
 def test_bands_miss_almost_nothing():
     assert (neardup.band_rows(80), neardup.band_rows(85)) == (5, 6)
 
