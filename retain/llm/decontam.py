@@ -10,9 +10,10 @@ Cursors of many stretches of text advance together, one numpy step for all. The
 cut into blocks of bounded bytes, each broadcast on its own, and a task searches one after the
 other, so no table grows with either side.
 
-Defined cases: null and empty texts have no words and no hits; items without words, and null
-items, have no windows; repeated items and ids all count by their item_id; an empty benchmark
-marks nothing; any other column is left alone.
+Defined cases: null and empty texts have no words and no hits; items without words, and items
+with a null text, have no windows; repeated items and ids all count by their item_id; items with a
+null id hit like others and count as one item together, which the digest of ids leaves out; an
+empty benchmark marks nothing; any other column is left alone.
 """
 
 from __future__ import annotations
@@ -96,9 +97,14 @@ class Table:
         return last[exact], pattern[exact]
 
 
-def compile_patterns(items: list[tuple[str, str]], window: int = WINDOW) -> list[Table]:
+def in_order(ids: set[str | None]) -> list[str | None]:
+    """The ids by code points, null last."""
+    return sorted(ids, key=lambda i: (i is None, i or ""))
+
+
+def compile_patterns(items: list[tuple[str | None, str]], window: int = WINDOW) -> list[Table]:
     """Tables for (item_id, text) pairs, one per pattern length."""
-    by_length: dict[int, dict[tuple[bytes, ...], set[str]]] = {}
+    by_length: dict[int, dict[tuple[bytes, ...], set[str | None]]] = {}
     kept: dict[tuple[bytes, ...], np.ndarray] = {}
     for item_id, text in items:
         (words,) = word_runs(pa.array([text], pa.string()), ALNUM)
@@ -109,15 +115,15 @@ def compile_patterns(items: list[tuple[str, str]], window: int = WINDOW) -> list
             by_length.setdefault(length, {}).setdefault(pattern, set()).add(item_id)
             kept[pattern] = words.hashes[i : i + length]
     return [
-        Table(length, list(found), np.stack([kept[p] for p in found]), [sorted(v) for v in found.values()])
+        Table(length, list(found), np.stack([kept[p] for p in found]), [in_order(v) for v in found.values()])
         for length, found in sorted(by_length.items())
     ]
 
 
-def search(words: Words, blocks: list[list[Table]]) -> tuple[np.ndarray, list[list[str]]]:
+def search(words: Words, blocks: list[list[Table]]) -> tuple[np.ndarray, list[list[str | None]]]:
     """Hit words and sorted item ids of each text."""
     edges = np.zeros(len(words.hashes) + 1, np.int64)
-    items: list[set[str]] = [set() for _ in words.counts]
+    items: list[set[str | None]] = [set() for _ in words.counts]
     for tables in blocks:
         for table in tables:
             last, pattern = table.scan(words)
@@ -126,14 +132,12 @@ def search(words: Words, blocks: list[list[Table]]) -> tuple[np.ndarray, list[li
             for d, p in zip((np.searchsorted(words.first, last, "right") - 1).tolist(), pattern.tolist()):
                 items[d].update(table.items[p])
     covered = np.concatenate([[0], np.cumsum(np.cumsum(edges[:-1]) > 0)])
-    return covered[words.first[1:]] - covered[words.first[:-1]], [sorted(s) for s in items]
+    return covered[words.first[1:]] - covered[words.first[:-1]], [in_order(s) for s in items]
 
 
 def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
     """The benchmark in parts of about `block_bytes` of text each, dealt by a hash of text and id."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(
-        "item_id is not null and text is not null"
-    )
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))

@@ -1,10 +1,12 @@
 import random
 import re
 
+import duckdb
 from cases import EDGE, rows
 from pyspark.sql import functions as F
 
 from retain.llm import decontam
+from retain.llm.queries import ORACLE
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -49,6 +51,20 @@ def test_against_brute_force(spark, frame):
     assert rows(found, *NAMES) == brute(docs, items)
 
 
+def test_items_without_an_id_hit_like_the_sql(spark, frame):
+    items = [(None, "one two three"), (None, "five six"), (7, "five six"), (8, "nine")]
+    docs = [(1, "zero one two three four"), (2, "one two three five six"), (3, "nine"), (4, "five six"), (5, "ten"), (6, None)]
+    con = duckdb.connect()
+    for name, df in (("documents", frame(docs)), ("benchmark", bench(spark, items))):
+        con.register(name, df.select(*df.columns[:2]).toArrow())
+    found = decontam.report(frame(docs), bench(spark, items))
+    want = con.execute(ORACLE["op9_wu_manber"]).fetchall()
+    assert rows(found, *NAMES) == sorted(want, key=repr)
+    assert {r[0]: r[2:4] for r in want} == {1: (3, 1), 2: (5, 2), 3: (1, 1), 4: (2, 2), 5: (0, 0), 6: (0, 0)}
+    left = decontam.clean(frame(docs), bench(spark, items))
+    assert sorted(r["doc_id"] for r in left.collect()) == [5, 6]
+
+
 def test_blocks_change_nothing(spark, frame):
     items = [(i, " ".join(f"w{(i * 7 + k) % 40}" for k in range(15))) for i in range(30)]
     docs = [(i, " ".join(f"w{(i + k) % 40}" for k in range(100))) for i in range(10)]
