@@ -6,9 +6,11 @@ a block that no pattern holds moves the cursor by a whole pattern less one, othe
 least distance from a pattern's end. Where the shift is 0 the block's bucket names the patterns
 that end in it; these are compared word by word, by hash and then by their bytes.
 
-Cursors of many stretches of text advance together, one numpy step for all. The benchmark is
-cut into blocks of bounded bytes, each broadcast on its own, and a task searches one after the
-other, so no table grows with either side.
+Cursors of many stretches of text advance together, one numpy step for all. Spark cuts the
+benchmark into its distinct windows, each with the ids of its items, and deals them to blocks of
+bounded bytes, which tasks write to files in the shared folder. The driver has the files' names. A
+worker loads one block, searches some MB of text for it, and lets it go for the next, so no table
+grows with either side; only the ids of one window, like those of one document, are a list.
 
 Defined cases: null and empty texts have no words and no hits; items without words, and items
 with a null text, have no windows; repeated items and ids all count by their item_id; items with a
@@ -19,20 +21,28 @@ empty benchmark marks nothing; any other column is left alone.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retain.llm.common import materialize, shared_path
 from retain.llm.words import ALNUM, Words, mixed, word_runs
 
 WINDOW = 10
-BLOCK_BYTES = 8 << 20  # benchmark text in one broadcast
+BLOCK_BYTES = 8 << 20  # windows and ids in one block
+HELD_RUNS = 8  # runs of text, about 2 MB each, that are searched for a block before the next is loaded
+CUT_ROWS = 10_000
 STRETCH = 256  # words that one cursor scans
 
 RESULT = "n_words bigint, n_hit bigint, items array<string>"
+CUT = pa.schema([("length", pa.int32()), ("pattern", pa.binary()), ("item_id", pa.string())])
 
 
 def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -42,7 +52,7 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 class Table:
     """Shift table and suffix buckets for patterns of one length."""
 
-    def __init__(self, length: int, patterns: list[tuple[bytes, ...]], hashes: np.ndarray, items: list[list[str]]):
+    def __init__(self, length: int, patterns: pa.Array, hashes: np.ndarray, items: pa.Array):
         self.length, self.patterns, self.hashes, self.items = length, patterns, hashes, items
         self.block = min(2, length)
         size = 1 << max(12, (16 * hashes.size).bit_length())
@@ -90,7 +100,7 @@ class Table:
             same = words.hashes[last - back] == self.hashes[pattern, self.length - 1 - back]
             last, pattern = last[same], pattern[same]
         exact = [
-            all(words.bytes_of(e - self.length + 1 + k) == w for k, w in enumerate(self.patterns[p]))
+            b" ".join(words.bytes_of(e - self.length + 1 + k) for k in range(self.length)) == self.patterns[p].as_py()
             for e, p in zip(last.tolist(), pattern.tolist())
         ]
         exact = np.array(exact, bool)
@@ -102,65 +112,123 @@ def in_order(ids: set[str | None]) -> list[str | None]:
     return sorted(ids, key=lambda i: (i is None, i or ""))
 
 
-def compile_patterns(items: list[tuple[str | None, str]], window: int = WINDOW) -> list[Table]:
-    """Tables for (item_id, text) pairs, one per pattern length."""
-    by_length: dict[int, dict[tuple[bytes, ...], set[str | None]]] = {}
-    kept: dict[tuple[bytes, ...], np.ndarray] = {}
-    for item_id, text in items:
-        (words,) = word_runs(pa.array([text], pa.string()), ALNUM)
-        spelled = [words.bytes_of(i) for i in range(len(words.hashes))]
-        length = min(window, len(spelled))
-        for i in range(len(spelled) - length + 1 if length else 0):
-            pattern = tuple(spelled[i : i + length])
-            by_length.setdefault(length, {}).setdefault(pattern, set()).add(item_id)
-            kept[pattern] = words.hashes[i : i + length]
-    return [
-        Table(length, list(found), np.stack([kept[p] for p in found]), [in_order(v) for v in found.values()])
-        for length, found in sorted(by_length.items())
-    ]
-
-
-def search(words: Words, blocks: list[list[Table]]) -> tuple[np.ndarray, list[list[str | None]]]:
-    """Hit words and sorted item ids of each text."""
-    edges = np.zeros(len(words.hashes) + 1, np.int64)
-    items: list[set[str | None]] = [set() for _ in words.counts]
-    for tables in blocks:
+class Hits:
+    """What occurs in a run of texts, gathered block by block."""
+
+    def __init__(self, words: Words):
+        self.words = words
+        self.edges = np.zeros(len(words.hashes) + 1, np.int64)
+        self.items: list[set[str | None]] = [set() for _ in words.counts]
+
+    def add(self, tables: list[Table]) -> None:
         for table in tables:
-            last, pattern = table.scan(words)
-            np.add.at(edges, last - table.length + 1, 1)
-            np.add.at(edges, last + 1, -1)
-            for d, p in zip((np.searchsorted(words.first, last, "right") - 1).tolist(), pattern.tolist()):
-                items[d].update(table.items[p])
-    covered = np.concatenate([[0], np.cumsum(np.cumsum(edges[:-1]) > 0)])
-    return covered[words.first[1:]] - covered[words.first[:-1]], [in_order(s) for s in items]
+            last, pattern = table.scan(self.words)
+            np.add.at(self.edges, last - table.length + 1, 1)
+            np.add.at(self.edges, last + 1, -1)
+            for d, p in zip((np.searchsorted(self.words.first, last, "right") - 1).tolist(), pattern.tolist()):
+                self.items[d].update(table.items[p].as_py())
+
+    def result(self) -> tuple[np.ndarray, list[list[str | None]]]:
+        """Hit words and sorted item ids of each text."""
+        covered = np.concatenate([[0], np.cumsum(np.cumsum(self.edges[:-1]) > 0)])
+        return covered[self.words.first[1:]] - covered[self.words.first[:-1]], [in_order(s) for s in self.items]
+
+
+# Patterns -------------------------------------------------------------------------------
+
+
+def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(length, pattern, items): every distinct window, its words joined by spaces, with all ids."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(rows):
+            columns = zip(*rows)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, CUT)], schema=CUT)
+
+        for batch in batches:
+            ids, rows = iter(batch.column(0).to_pylist()), []
+            for words in word_runs(batch.column(1), ALNUM):
+                for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+                    item_id, length = next(ids), min(window, b - a)
+                    spelled = [words.bytes_of(i) for i in range(a, b)]
+                    for i in range(b - a - length + 1 if length else 0):
+                        rows.append((length, b" ".join(spelled[i : i + length]), item_id))
+                        if len(rows) == CUT_ROWS:
+                            yield batch_of(rows)
+                            rows = []
+            if rows:
+                yield batch_of(rows)
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null")
+    ids = F.sort_array(F.collect_set(F.struct("item_id")))  # in a struct, where a null id counts
+    return items.mapInArrow(cut, "length int, pattern binary, item_id string").groupBy("length", "pattern").agg(
+        F.transform(ids, lambda s: s["item_id"]).alias("items")
+    )
+
+
+def pattern_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list[str]:
+    """Files in the shared folder with about `block_bytes` of patterns and ids each, dealt by a hash."""
+    spark = benchmark.sparkSession
+    found = materialize(windows(benchmark, window), "windows")
+    total = found.agg(F.sum(F.octet_length("pattern") + F.octet_length(F.concat_ws(",", "items")))).first()[0] or 0
+    part = F.pmod(F.xxhash64("pattern"), F.lit(max(1, -(-total // block_bytes))))
+    folder = shared_path(spark, "patterns").rstrip("/")
+
+    def put(block: pa.Table) -> pa.Table:
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        name = f"{uuid.uuid4().hex}.arrow"
+        with store.open_output_stream(f"{root}/{name}", compression=None) as out, pa.ipc.new_file(out, block.schema) as file:
+            file.write_table(block)
+        return pa.table({"file": [f"{folder}/{name}"]})
+
+    return sorted(r["file"] for r in found.withColumn("part", part).groupBy("part").applyInArrow(put, "file string").collect())
+
+
+def load(file: str) -> list[Table]:
+    """The tables of a block, one per pattern length; a worker holds those of one block at a time."""
+    if file not in _held:
+        _held.clear()
+        store, path = fs.FileSystem.from_uri(file)
+        with store.open_input_file(path) as source:
+            block = pa.ipc.open_file(source).read_all()
+        _held[file] = compiled(block)
+    return _held[file]
+
+
+_held: dict[str, list[Table]] = {}
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
-    """The benchmark in parts of about `block_bytes` of text each, dealt by a hash of text and id."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [rows.filter(part == i) for i in range(n)]
+def compiled(block: pa.Table) -> list[Table]:
+    tables = []
+    for length in sorted(set(block.column("length").to_pylist())):
+        same = block.filter(pc.equal(block.column("length"), length))
+        patterns, items = (same.column(c).combine_chunks() for c in ("pattern", "items"))
+        hashes = np.concatenate([words.hashes for words in word_runs(patterns, ALNUM)]).reshape(-1, length)
+        tables.append(Table(length, patterns, hashes, items))
+    return tables
 
 
 def contamination(benchmark: DataFrame, text: Column, *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Column:
     """A struct of n_words, n_hit and the sorted ids of items with occurring windows, for `text`."""
-    sc = benchmark.sparkSession.sparkContext
-    blocks = [
-        sc.broadcast(compile_patterns([tuple(r) for r in part.collect()], window))
-        for part in benchmark_blocks(benchmark, block_bytes)
-    ]
+    files = pattern_blocks(benchmark, window, block_bytes)
 
     @F.arrow_udf(RESULT)
     def mark(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        order = list(files)
         for texts in batches:
             n_words, n_hit, items = [], [], []
-            for words in word_runs(texts, ALNUM):
-                hit, found = search(words, (b.value for b in blocks))
-                n_words.append(words.counts)
-                n_hit.append(hit)
-                items += found
+            runs = word_runs(texts, ALNUM)
+            while held := [Hits(words) for words in islice(runs, HELD_RUNS if len(order) > 1 else 1)]:
+                for file in order:
+                    for hits in held:
+                        hits.add(load(file))
+                order.reverse()  # the block that is loaded comes first in the next round
+                for hits in held:
+                    hit, found = hits.result()
+                    n_words.append(hits.words.counts)
+                    n_hit.append(hit)
+                    items += found
             count = lambda parts: pa.array(np.concatenate(parts) if parts else [], pa.int64())
             yield pa.StructArray.from_arrays(
                 [count(n_words), count(n_hit), pa.array(items, pa.list_(pa.string()))], ["n_words", "n_hit", "items"]

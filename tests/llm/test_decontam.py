@@ -73,6 +73,17 @@ def test_blocks_change_nothing(spark, frame):
     assert {r["doc_id"]: r["n_hit"] for r in many} == {r[0]: r[2] for r in brute(docs, items)}
 
 
+def test_blocks_hold_distinct_windows_and_one_is_loaded(spark):
+    items = [(i, " ".join(f"w{k}" for k in range(60))) for i in range(200)]  # copies of one item
+    files = decontam.pattern_blocks(bench(spark, items), block_bytes=8000)
+    held = []
+    for file in files:
+        held.append([len(t.patterns) for t in decontam.load(file)])
+        assert list(decontam._held) == [file]
+    assert len(files) > 3 and sum(sum(x) for x in held) == 51  # each window once, with all its ids
+    assert {tuple(decontam.load(f)[0].items[0].as_py()) for f in files} == {tuple(sorted(str(i) for i in range(200)))}
+
+
 def test_empty_tables_and_clean_rows(spark, frame):
     docs = frame(EDGE)
     assert decontam.report(docs, bench(spark, [])).filter("contaminated").count() == 0
