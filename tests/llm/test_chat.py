@@ -22,6 +22,31 @@ def test_rendering_and_order(spark):
     assert row["n_turns"] == 3
 
 
+def test_a_hot_conversation_lies_in_many_parts(spark, request):
+    table = [(None, i % 7, "user", f"t{i}", "", 0, 0) for i in range(2000)] + [(c, 0, "user", f"t{c}", "", 0, 0) for c in (0, 7, 14)]
+    table += [(0, 1, "\x00", None, "", 0, 0), (7, 0, None, "\x00", "", 0, 0)]
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"  # would put a table this small into one part
+    was = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    request.addfinalizer(lambda: spark.conf.set(coalesce, was))
+    logs = chat.Logs(spark.createDataFrame(table, TURNS))
+    hot = logs.parts.filter("conv_id is null").collect()
+    assert len(hot) > 1 and max(r["held"] for r in hot) < 1500 and sum(r["held"] for r in hot) == 2000
+    out = {r["conv_id"]: r for r in chat.collapse(spark.createDataFrame(table, TURNS)).collect()}
+    want = "".join(f"<|user|>\nt{i}<|end|>\n" for i in sorted(range(2000), key=lambda i: (i % 7, f"t{i}")))
+    assert out[None]["rendered"] == want and out[None]["n_turns"] == 2000
+    assert sorted(out, key=repr) == [0, 14, 7, None]
+
+
+def test_only_the_texts_that_stay_are_gathered(spark):
+    said = [("user", f"t{i}") for i in range(30)]
+    logs = chat.Logs(turns(spark, [(i, said[: i + 1]) for i in range(30)]))
+    whole, prefixes = logs.keys()
+    assert whole.count() == 30 and prefixes.count() == 29
+    (row,) = logs.rendered(whole.filter("conv_id = 29")).collect()
+    assert row["rendered"] == "".join(f"<|user|>\nt{i}<|end|>\n" for i in range(30))
+
+
 def test_long_conversation_and_empty(spark):
     said = [("user", f"t{i}") for i in range(3000)]
     out = chat.collapse(turns(spark, [(1, said), (2, said[:2999])])).collect()
