@@ -82,34 +82,36 @@ def gzip_member(data: bytes, level: int = 6) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+def archive(batches: Iterator[pa.RecordBatch], folder: str, file_bytes: int) -> Iterator[pa.RecordBatch]:
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+    # Readers find the store by the scheme; a local path needs none.
+    top = root if isinstance(store, fs.LocalFileSystem) else folder.rstrip("/")
+    out, done = None, []
+    for batch in batches:
+        columns = [batch.column(n).to_pylist() for n in ("page_id", "url", "digest", "refers_to")]
+        for i, (page_id, url, digest, refers_to) in enumerate(zip(*columns)):
+            if out is None:
+                name, size, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                out = store.open_output_stream(f"{root.rstrip('/')}/{name}", compression=None)  # members are compressed one by one
+            html = batch.column("html")[i].as_py() or ""
+            member = gzip_member(record_bytes(page_id, url, html.encode(), digest, refers_to))
+            out.write(member)
+            size, count = size + len(member), count + 1
+            if size >= file_bytes:
+                out.close()
+                done.append((f"{top}/{name}", size, count))
+                out = None
+    if out is not None:
+        out.close()
+        done.append((f"{top}/{name}", size, count))
+    if done:
+        yield pa.RecordBatch.from_pylist([dict(zip(("file", "bytes", "records"), x)) for x in done])
+
+
 def write(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write one record per row of `pages` and return the files: (file, bytes, records)."""
-
-    def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
-        store.create_dir(root, recursive=True)
-        out, done = None, []
-        for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("page_id", "url", "digest", "refers_to")]
-            for i, (page_id, url, digest, refers_to) in enumerate(zip(*columns)):
-                if out is None:
-                    path, size, count = f"{root}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = store.open_output_stream(path, compression=None)  # members are compressed one by one
-                html = batch.column("html")[i].as_py() or ""
-                member = gzip_member(record_bytes(page_id, url, html.encode(), digest, refers_to))
-                out.write(member)
-                size, count = size + len(member), count + 1
-                if size >= file_bytes:
-                    out.close()
-                    done.append((path, size, count))
-                    out = None
-        if out is not None:
-            out.close()
-            done.append((path, size, count))
-        if done:
-            yield pa.RecordBatch.from_pylist([dict(zip(("file", "bytes", "records"), x)) for x in done])
-
-    files = with_revisits(pages, min_bytes).mapInArrow(archive, "file string, bytes long, records long")
+    files = with_revisits(pages, min_bytes).mapInArrow(lambda batches: archive(batches, folder, file_bytes), "file string, bytes long, records long")
     return materialize(files, "archives")
 
 
@@ -199,29 +201,30 @@ def records_of(source, start: int, stop: int) -> Iterator[dict]:
         yield parse(member)
 
 
+def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records that start in the byte ranges (file, start, stop)."""
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
+                        ("digest", pa.string()), ("length", pa.int64()), ("payload", pa.binary())])
+    for batch in batches:
+        for row in batch.to_pylist():
+            store, path = fs.FileSystem.from_uri(row["file"])
+            with store.open_input_file(path) as source:
+                held, size = [], 0
+                for record in records_of(source, row["start"], row["stop"]):
+                    held.append(record)
+                    size += len(record["payload"] or b"")
+                    if len(held) == 1000 or size > 8 << 20:
+                        yield pa.RecordBatch.from_pylist(held, schema)
+                        held, size = [], 0
+                if held:
+                    yield pa.RecordBatch.from_pylist(held, schema)
+
+
 def read(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """All records of `files` (file, bytes), one task per byte range."""
     root = files.select("file", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
     ranges = root.withColumn("stop", F.least(F.col("start") + F.lit(split_bytes), "bytes"))
     n = min(max(ranges.count(), 1), 100_000)
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
-                        ("digest", pa.string()), ("length", pa.int64()), ("payload", pa.binary())])
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                store, path = fs.FileSystem.from_uri(row["file"])
-                with store.open_input_file(path) as source:
-                    held, size = [], 0
-                    for record in records_of(source, row["start"], row["stop"]):
-                        held.append(record)
-                        size += len(record["payload"] or b"")
-                        if len(held) == 1000 or size > 8 << 20:
-                            yield pa.RecordBatch.from_pylist(held, schema)
-                            held, size = [], 0
-                    if held:
-                        yield pa.RecordBatch.from_pylist(held, schema)
-
     return ranges.repartition(n).mapInArrow(scan, RECORD)
 
 

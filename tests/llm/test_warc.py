@@ -2,6 +2,8 @@ import gzip
 import hashlib
 import random
 
+import pyarrow as pa
+from pyarrow import fs as pa_fs
 from pyspark.sql import functions as F
 
 from retain.llm import warc
@@ -49,6 +51,31 @@ def test_magic_inside_a_payload_is_no_record():
     assert found == [0, 1, 2]
 
 
+def test_round_trip_in_a_store_with_a_scheme(monkeypatch, tmp_path):
+    class Stores:
+        """box://name/path lies in a folder; a path without a scheme is in no store."""
+
+        @staticmethod
+        def from_uri(uri):
+            scheme, mark, path = uri.partition("://")
+            if (scheme, mark) != ("box", "://"):
+                raise ValueError(f"URI has empty scheme: {uri}")
+            return pa_fs.SubTreeFileSystem(str(tmp_path), pa_fs.LocalFileSystem()), path
+
+    monkeypatch.setattr(warc.fs, "FileSystem", Stores)
+    table = [{"page_id": i, "url": f"http://h/{i}", "html": "x" * i, "digest": "d", "refers_to": None} for i in range(1, 6)]
+    files = [r for b in warc.archive([pa.RecordBatch.from_pylist(table)], "box://bucket/key/", 300) for r in b.to_pylist()]
+    assert len(files) > 1 and all(r["file"].startswith("box://bucket/key/") for r in files)
+    ranges = [{"file": r["file"], "start": 0, "stop": r["bytes"]} for r in files]
+    back = [r for b in warc.scan([pa.RecordBatch.from_pylist(ranges)]) for r in b.to_pylist()]
+    assert [(r["page_id"], r["payload"]) for r in back] == [(i, b"x" * i) for i in range(1, 6)]
+
+
+def test_round_trip_with_a_file_scheme(spark, tmp_path):
+    files = warc.write(pages(spark, [(i, "u", "y" * i) for i in range(20)]), f"file://{tmp_path}/w", file_bytes=500)
+    assert sorted(r["length"] for r in warc.read(spark, files).collect()) == list(range(20))
+
+
 def test_empty_table(spark):
     files = warc.write(pages(spark, []), shared_path(spark, "warc-test"))
     assert warc.report(warc.read(spark, files)).count() == 0
