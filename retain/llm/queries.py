@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retain.llm import chat, decontam, exact_dedup, langid, mixing, neardup, packing, pii, sharding, warc
+from retain.llm import alignment, byte_bpe, chat, decontam, exact_dedup, langid, mixing, neardup, negatives, packing, pii, sharding, warc
 from retain.llm.common import materialize, read, shared_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,21 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), n_shards=8)
 
 
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.report(read(spark, sf_dir, "embeddings"))
+
+
 ORACLE["op3_mix_sources"] = r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -170,3 +185,24 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 """
+
+ORACLE["op13_hard_negatives"] = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, o.r, o.vec_id, a.label = o.label AS same,
+         list_sum(list_transform(list_zip(a.q, o.q), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM e a JOIN e o ON a.r <> o.r WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) AS nth FROM s WHERE same
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.ar, p.nth ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+  WHERE p.nth <= 5
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
