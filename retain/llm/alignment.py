@@ -45,7 +45,7 @@ from retain.llm.words import text_bytes, runs
 
 FIRST = public_tokenizers.path("byte_bpe_50k.json")
 SECOND = public_tokenizers.path("piece_bpe_32k.model")
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
 UNDERLINE = "▁"  # stands for a blank in pieces
 

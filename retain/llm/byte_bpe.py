@@ -37,6 +37,7 @@ from retain.llm.words import runs, text_bytes
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+RUN_IDS = 1 << 19  # decoded at a time
 
 
 def byte_characters() -> list[str]:
@@ -111,14 +112,13 @@ def serialised(tokens: list[bytes]) -> bytes:
     return b"".join([*parts, _block(trainer, _number(model_type, bpe)), _block(normalizer, rules), _block(denormalizer, rules)])
 
 
-class ByteBPE:
-    """Encoder and decoder of one vocabulary; `tokens` by id."""
+class Encoder:
+    """Ids of texts in one vocabulary; `tokens` by id."""
 
     def __init__(self, tokens: list[bytes], pattern: str = PATTERN):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised(tokens))
         self.pattern = regex.compile(pattern)
         self.whole = {spelled(t): i for i, t in enumerate(tokens)}
-        self.pieces = Strings([unspelled(self.model.id_to_piece(i)) for i in range(len(tokens))])
         self.chunks = ChunkEncoder(self.encode_chunks)
 
     def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
@@ -130,33 +130,42 @@ class ByteBPE:
     def encode(self, texts: pa.Array) -> pa.Array:
         """A list of ids for each text."""
         data, offsets = text_bytes(texts)
-        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        found = [pa.array([], pa.list_(pa.int32()))]
         for a, b in runs(offsets):
-            found, at = self.chunks.encode(Chunks(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACES))
-            ids.append(found)
-            sizes.append(np.diff(at))
-        ends = np.cumsum(np.concatenate(sizes))
-        return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(ids))).cast(pa.list_(pa.int32()))
+            ids, at = self.chunks.encode(Chunks(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACES))
+            found.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32())))
+        return pa.concat_arrays(found)
+
+
+class Decoder:
+    """Bytes of ids, from the model's pieces by the inverse of the mapping."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.pieces = Strings([unspelled(spelled(t)) for t in tokens])
 
     def decode(self, lists: pa.Array) -> pa.Array:
         """The bytes of each list of ids."""
-        ids, size = lists.flatten().to_numpy(), lists.value_lengths().fill_null(0).to_numpy()
-        bytes_before = np.concatenate([[0], np.cumsum(self.pieces.size[ids])])
-        ends = bytes_before[np.concatenate([[0], np.cumsum(size)])]
-        buffers = [None, pa.py_buffer(ends.astype(np.int64)), self.pieces.joined(ids)]
-        return pa.Array.from_buffers(pa.large_binary(), len(lists), buffers).cast(pa.binary())
+        ids = lists.flatten().to_numpy()
+        offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
+        found = [pa.array([], pa.binary())]
+        for a, b in runs(offsets, RUN_IDS):
+            some, at = ids[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            ends = np.concatenate([[0], np.cumsum(self.pieces.size[some])])[at]
+            buffers = [None, pa.py_buffer(ends.astype(np.int32)), self.pieces.joined(some)]
+            found.append(pa.Array.from_buffers(pa.binary(), b - a, buffers))
+        return pa.concat_arrays(found)
 
 
 # Columns ------------------------------------------------------------------------------------
 
-_loaded: dict[str, ByteBPE] = {}
+_loaded: dict[tuple[type, str], Encoder | Decoder] = {}
 
 
-def loaded(name: str) -> ByteBPE:
-    """The codec of a shipped rank file; a worker makes it once."""
-    if name not in _loaded:
-        _loaded[name] = ByteBPE(read_ranks(shipped(name)))
-    return _loaded[name]
+def loaded(kind: type, name: str) -> Encoder | Decoder:
+    """The coder of a shipped rank file; a worker makes it once."""
+    if (kind, name) not in _loaded:
+        _loaded[kind, name] = kind(read_ranks(shipped(name)))
+    return _loaded[kind, name]
 
 
 def encode(spark: SparkSession, text: Column, vocabulary: str = VOCABULARY) -> Column:
@@ -166,7 +175,7 @@ def encode(spark: SparkSession, text: Column, vocabulary: str = VOCABULARY) -> C
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield loaded(name).encode(texts)
+            yield loaded(Encoder, name).encode(texts)
 
     return ids(text)
 
@@ -178,7 +187,7 @@ def decode(spark: SparkSession, ids: Column, vocabulary: str = VOCABULARY) -> Co
     @F.arrow_udf("binary")
     def whole(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            yield loaded(name).decode(lists)
+            yield loaded(Decoder, name).decode(lists)
 
     return whole(ids)
 

@@ -18,7 +18,7 @@ from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 #: Bounds of what an encoder keeps from one run of texts to the next.
-KEPT_CHUNKS = 1 << 19
+KEPT_CHUNKS = 1 << 18
 KEPT_BYTES = 32 << 20
 
 

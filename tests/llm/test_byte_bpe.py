@@ -27,8 +27,13 @@ def reference():
 
 
 @pytest.fixture(scope="module")
-def codec():
-    return byte_bpe.ByteBPE(TOKENS)
+def encoder():
+    return byte_bpe.Encoder(TOKENS)
+
+
+@pytest.fixture(scope="module")
+def decoder():
+    return byte_bpe.Decoder(TOKENS)
 
 
 def test_every_byte_has_a_character_of_its_own():
@@ -46,46 +51,47 @@ def test_the_model_is_the_vocabulary():
         assert model.get_score(i) == -i
 
 
-def test_equals_the_library_on_documents_and_odd_texts(spark, codec, reference):
+def test_equals_the_library_on_documents_and_odd_texts(spark, encoder, decoder, reference):
     texts = ODD + [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
-    ids = codec.encode(pa.array(texts))
+    ids = encoder.encode(pa.array(texts))
     assert ids.to_pylist() == [reference.encode_ordinary(t) for t in texts]
-    assert codec.decode(ids).to_pylist() == [t.encode() for t in texts]
+    assert decoder.decode(ids).to_pylist() == [t.encode() for t in texts]
 
 
-def test_equals_the_library_on_every_kind_of_character(codec, reference):
+def test_equals_the_library_on_every_kind_of_character(encoder, reference):
     texts = [f"a{c}{c} b1{c} {c}\n{c}x " for c in map(chr, [*range(0x3100), *range(0xE000, 0x30000, 37)])]
-    assert codec.encode(pa.array(texts)).to_pylist() == reference.encode_ordinary_batch(texts)
+    assert encoder.encode(pa.array(texts)).to_pylist() == reference.encode_ordinary_batch(texts)
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=40), max_size=6))
 def test_equals_the_library_on_any_text(texts):
-    codec, ranks = test_equals_the_library_on_any_text.made
-    ids = codec.encode(pa.array(texts, pa.string()))
+    encoder, decoder, ranks = test_equals_the_library_on_any_text.made
+    ids = encoder.encode(pa.array(texts, pa.string()))
     assert ids.to_pylist() == [ranks.encode_ordinary(t) for t in texts]
-    assert codec.decode(ids).to_pylist() == [t.encode() for t in texts]
+    assert decoder.decode(ids).to_pylist() == [t.encode() for t in texts]
 
 
 test_equals_the_library_on_any_text.made = (
-    byte_bpe.ByteBPE(TOKENS),
+    byte_bpe.Encoder(TOKENS),
+    byte_bpe.Decoder(TOKENS),
     tiktoken.Encoding("any", pat_str=byte_bpe.PATTERN, mergeable_ranks={t: i for i, t in enumerate(TOKENS)}, special_tokens={}),
 )
 
 
 def test_a_match_that_is_a_token_needs_no_merges():
     tokens = [bytes([b]) for b in range(256)] + [b"abc"]  # no merge leads to it
-    codec = byte_bpe.ByteBPE(tokens)
+    encoder = byte_bpe.Encoder(tokens)
     reference = tiktoken.Encoding("small", pat_str=byte_bpe.PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
     texts = ["abc", "abc abcd", "xabc"]
-    assert codec.encode(pa.array(texts)).to_pylist() == [reference.encode_ordinary(t) for t in texts]
+    assert encoder.encode(pa.array(texts)).to_pylist() == [reference.encode_ordinary(t) for t in texts]
 
 
-def test_what_is_kept_is_bounded(monkeypatch, codec, reference):
+def test_what_is_kept_is_bounded(monkeypatch, encoder, reference):
     monkeypatch.setattr(chunks, "KEPT_CHUNKS", 10)
     for text in ("one two three four five six seven", "eight nine ten eleven twelve one two", "one two three"):
-        assert codec.encode(pa.array([text])).to_pylist() == [reference.encode_ordinary(text)]
-    assert len(codec.chunks.known) <= 20
+        assert encoder.encode(pa.array([text])).to_pylist() == [reference.encode_ordinary(text)]
+    assert len(encoder.chunks.known) <= 20
 
 
 def test_columns_and_report(spark, frame, reference):
