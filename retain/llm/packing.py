@@ -1,8 +1,8 @@
 """Token ids packed into fixed-length sequences by best-fit decreasing.
 
 Tokenizing: a text is cut where white space follows a visible character, which no token of a
-byte-level vocabulary with the usual splitting pattern spans. Equal pieces are encoded once and
-their ids kept, so the cost follows the number of distinct words.
+byte-level vocabulary with the usual splitting pattern spans. Equal chunks, compared by their bytes,
+are encoded once and their ids kept, so the cost follows the number of distinct words.
 
 Packing: documents longer than a sequence are cut into full sequences and a rest, without loss.
 The pieces of one pool (a run of a task's documents, bounded by a token budget) are placed
@@ -28,20 +28,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retain.llm.words import SPACED, mixed, powers, runs, seeds, text_bytes
+from retain.llm.chunks import SPACES, ChunkEncoder, Chunks, ship_file, shipped
+from retain.llm.words import runs, text_bytes
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the splitting pattern that the vocabulary was made with.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LENGTH = 2048
 POOL_TOKENS = 4 << 20
-CACHE_PIECES = 1 << 20
 
 ROW = (
     "pool string, sequence int, input_ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, "
     "doc_ids array<long>, starts array<long>"
 )
-_VALUES = seeds(256, 12)
 
 
 def load(path: str) -> tiktoken.Encoding:
@@ -51,58 +50,15 @@ def load(path: str) -> tiktoken.Encoding:
 
 
 class Encoder:
-    """Ids of whole texts; distinct pieces are encoded once and kept up to a bound."""
+    """Ids of whole texts; distinct chunks are encoded once (see `chunks`)."""
 
     def __init__(self, path: str):
         self.encoding = load(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = [0]
-
-    def add(self, piece: bytes) -> int:
-        got = self.encoding.encode_ordinary(piece.decode())
-        begin, end = self.ends[-1], self.ends[-1] + len(got)
-        if end > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(got)), np.uint32)])
-        self.ids[begin:end] = got
-        self.ends.append(end)
-        return len(self.ends) - 2
+        self.chunks = ChunkEncoder(lambda chunks: (self.encoding.encode_ordinary(c.decode()) for c in chunks))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the n + 1 offsets of the texts in them."""
-        n = len(data)
-        if not n:
-            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        starts = np.union1d(self.cuts(data), offsets[:-1][np.diff(offsets) > 0])
-        ends = np.append(starts[1:], n)
-        up, down = powers.get(n)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[data] * up)])
-        hashes = mixed((sums[ends] - sums[starts]) * down[starts]) ^ (ends - starts).astype(np.uint64)
-        distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE_PIECES:
-            self.clear()
-        at = np.empty(len(distinct), np.int64)
-        for i, (h, e) in enumerate(zip(distinct.tolist(), example.tolist())):
-            found = self.known.get(h)
-            if found is None:
-                found = self.known[h] = self.add(data[starts[e] : ends[e]].tobytes())
-            at[i] = found
-        bounds = np.array(self.ends)
-        begin, size = bounds[at][which], (bounds[at + 1] - bounds[at])[which]
-        total = np.concatenate([[0], np.cumsum(size)])
-        ids = self.ids[np.arange(total[-1]) - np.repeat(total[:-1] - begin, size)]
-        return ids, total[np.searchsorted(starts, offsets)]
-
-    @staticmethod
-    def cuts(data: np.ndarray) -> np.ndarray:
-        """Positions of ASCII white space behind a byte that surely ends a visible character."""
-        before = data[:-1]
-        visible = (before > 0x20) & (before < 0x7F)
-        visible[1:] |= data[:-2] == 0xC3  # accented letters; a few other lead bytes start spaces
-        return np.flatnonzero(visible & ~SPACED[data[1:]]) + 1
+        return self.chunks.encode(Chunks(data, offsets, SPACES))
 
 
 class Room:
@@ -176,8 +132,10 @@ def pack(
         ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())),
     ])
 
+    shipped_as = ship_file(docs.sparkSession, vocabulary)
+
     def pools(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, held, tokens, n_pools = Encoder(vocabulary), [], 0, 0
+        encoder, held, tokens, n_pools = Encoder(shipped(shipped_as)), [], 0, 0
         dtype = "<u2" if encoder.encoding.max_token_value < 1 << 16 else "<u4"
 
         def flush():

@@ -37,6 +37,15 @@ def test_odd_white_space_is_cut_safely():
         assert ids[: at[1]].tolist() == plain.encode_ordinary(text) == ids[at[1] :].tolist()
 
 
+def test_words_whose_polynomials_agree_modulo_a_power_of_two():
+    """The Thue-Morse word and its complement have equal polynomial hashes modulo 2^64 for any odd base."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    text = f"x {word} y {word.translate(str.maketrans('ab', 'ba'))} z"
+    data, offsets = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])
+    encoder = packing.Encoder(packing.VOCABULARY)
+    assert encoder.encode(data, offsets)[0].tolist() == encoder.encoding.encode_ordinary(text)
+
+
 def test_best_fit_decreasing():
     packed = packing.best_fit([6, 3, 8, 2, 5, 5, 1], 10)
     assert packed == [[2, 3], [0, 1, 6], [4, 5]]
