@@ -25,8 +25,9 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -192,12 +193,29 @@ def decode(spark: SparkSession, ids: Column, vocabulary: str = VOCABULARY) -> Co
     return whole(ids)
 
 
+CODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+
+
+def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """doc_id, the ids of the text and the bytes they decode to, in one worker and in runs of about 2 MB of text."""
+    name = ship_file(docs.sparkSession, vocabulary)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = loaded(Encoder, name), loaded(Decoder, name)
+        for batch in batches:
+            doc_ids, texts = batch.columns
+            size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+            for a, b in runs(np.concatenate([[0], size])):
+                ids = encoder.encode(texts.slice(a, b - a))
+                yield pa.RecordBatch.from_arrays([doc_ids.slice(a, b - a), ids, decoder.decode(ids)], schema=CODED)
+
+    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return columns.mapInArrow(coded, "doc_id long, ids array<int>, decoded binary")
+
+
 def report(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """The contract's row per document: digests of the ids and of the bytes they decode to."""
-    spark = docs.sparkSession
-    coded = docs.select("doc_id", encode(spark, F.col("text"), vocabulary).alias("ids"))
-    back = coded.select("doc_id", "ids", decode(spark, F.col("ids"), vocabulary).alias("decoded"))
-    return back.select(
+    return round_trip(docs, vocabulary).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
