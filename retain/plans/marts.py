@@ -58,7 +58,7 @@ def chart_tables(
 
 def dashboard_tables(clean: Bundle, segmented: DataFrame, config: Config = DEFAULT) -> dict[str, DataFrame]:
     """KPI cards, dashboard pages and the star schema."""
-    snapshots = materialize(migration.customer_snapshots(clean.orders, config=config), "snapshots")
+    states = materialize(migration.customer_states(clean.orders, config=config), "states")
     return {
         "kpis": kpis.kpis(segmented, clean.orders, clean.reviews, config),
         "kpi_targets": kpis.kpi_targets(segmented, clean.orders, clean.reviews, config),
@@ -66,7 +66,7 @@ def dashboard_tables(clean: Bundle, segmented: DataFrame, config: Config = DEFAU
         "mtd_revenue": revenue.mtd_revenue(clean.orders, config),
         "customer_funnel": kpis.customer_funnel(segmented),
         "revenue_by_channel": revenue.revenue_by_channel(clean.orders, config),
-        "segment_migration": migration.segment_migration(snapshots),
+        "segment_migration": migration.segment_migration(states),
         "churn_by_segment": segmentation.churn_by_segment(segmented),
         "revenue_by_category": revenue.revenue_by_category(clean.lines, clean.products, config),
         "rating_by_category": revenue.rating_by_category(clean.reviews, clean.products),

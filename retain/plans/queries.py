@@ -680,8 +680,8 @@ def sliced_revenue(spark, sf_dir):
 
 @query
 def segment_migration(spark, sf_dir):
-    snapshots = migration.customer_snapshots(orders(spark, sf_dir), config=CONFIG)
-    return migration.segment_migration(materialize(snapshots, "snapshots"))
+    states = migration.customer_states(orders(spark, sf_dir), config=CONFIG)
+    return migration.segment_migration(materialize(states, "states"))
 
 
 # Statistics -----------------------------------------------------------------------------

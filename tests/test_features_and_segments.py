@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from retain import Config
+from retain.functions.intervals import interpolated, interval_quantiles
 from retain.operators import features, migration, segmentation
 
 DAY = dt.date(2024, 3, 31)
@@ -88,10 +89,42 @@ def test_migration_moves_by_hand(spark):
     assert migration.last_month_end(dt.date(2024, 1, 15)) == dt.date(2023, 12, 31)
     df = orders(spark, [(c, "p", d, 5.0, "Completed", "Web") for c, d in (
         ("old", dt.date(2024, 1, 5)), ("old", dt.date(2024, 3, 5)), ("new", dt.date(2024, 3, 9)))])
-    snapshots = migration.customer_snapshots(df, Config())
-    rows = {(r.customer_id, r.snapshot): (r.recency_days, r.frequency, r.monetary) for r in snapshots.collect()}
+    states = migration.customer_states(df, Config())
+    rows = {(r.customer_id, r.month, r.until): (r.frequency, r.monetary, r.before and r.before.frequency) for r in states.collect()}
     m = 2024 * 12
-    assert rows == {
-        ("old", m + 1): (26, 1, 5.0), ("old", m + 2): (55, 1, 5.0), ("old", m + 3): (26, 2, 10.0), ("new", m + 3): (22, 1, 5.0)}
-    moves = sorted((r.month, r.customers) for r in migration.segment_migration(snapshots).collect())
+    assert rows == {("old", m + 1, m + 2): (1, 5.0, None), ("old", m + 3, m + 3): (2, 10.0, 1), ("new", m + 3, m + 3): (1, 5.0, None)}
+    moves = sorted((r.month, r.customers) for r in migration.segment_migration(states).collect())
     assert moves == [("2024-02", 1), ("2024-03", 1)]
+
+
+def test_interval_quantiles_equal_those_of_the_expanded_rows(spark):
+    draw = np.random.default_rng(7)
+    n = 4000
+    start = draw.integers(1, 40, n)
+    until = np.minimum(start + draw.integers(0, 15, n), 45)
+    odd = np.where(draw.random(n) < 0.3, 1000.0, np.round(draw.normal(0, 5000, n), 2))
+    near = 1_000_000 + np.round(draw.random(n), 6)  # all in one first bin
+    rows = [(int(a), int(b), float(x), float(y)) for a, b, x, y in zip(start, until, odd, near)]
+    df = spark.createDataFrame([*rows, (3, 4, None, None)], "a int, b int, odd double, near double")
+    fractions = (0.0, 0.2, 0.5, 0.8, 1.0)
+    got = {
+        (r.metric, r.month): r.q
+        for r in interval_quantiles(df, ["odd", "near"], "a", "b", fractions)
+        .withColumn("q", interpolated(F.col("n"), F.col("values"), fractions)).collect()
+    }
+    for metric, values in (("odd", odd), ("near", near)):
+        for month in range(1, 46):
+            valid = values[(start <= month) & (until >= month)]
+            assert got.pop((metric, month)) == pytest.approx(np.quantile(valid, fractions), rel=1e-12)
+    assert not got
+
+
+def test_migration_keeps_no_row_per_buyer_and_month(spark):
+    """Buyers who never return: runs, not months, leave their rows."""
+    df = orders(spark, [(str(i), "p", dt.date(2014, 1 + i % 12, 3), 5.0 + i, "Completed", "Web") for i in range(200)])
+    states = migration.customer_states(df, Config())
+    months = sum(r.until - r.month + 1 for r in states.collect())
+    assert states.count() == 200 and months > 20_000
+    assert migration.moves(states).count() < months / 10
+    total = sum(r.customers for r in migration.segment_migration(states).collect())
+    assert total == months - 200
