@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -19,18 +20,25 @@ from retain.functions.rows import add_row, with_row
 from retain.session import materialize
 
 
-def label_codes(feat: DataFrame, column: str) -> DataFrame:
-    """(column, code): the distinct values and their positions in sorted order, from 0.
+def label_codes(feat: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, code): the distinct values and their positions in sorted order, from 0.
 
-    Null counts as the text "nan". Positions are counted per two-character prefix and then
-    within one, so no window holds all values of a column.
+    Null counts as the text "nan". The values of all columns are dealt out by ranges, written once,
+    and numbered by the rows of earlier ranges plus the position in their own; a range is about one
+    part in `spark.sql.shuffle.partitions` of all values, whatever they begin with.
     """
-    values = feat.select(_label(column).alias(column)).distinct().withColumn("_head", F.substring(column, 1, 2))
-    heads = values.groupBy("_head").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = F.sum("_n").over(Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1))
-    heads = heads.select("_head", F.coalesce(earlier, F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_head").orderBy(column)) - 1
-    return values.join(heads, "_head").select(column, (F.col("_before") + place).cast("int").alias("_code"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), _label(c).alias("value")) for c in columns])
+    values = feat.select(F.explode(cells).alias("e")).select("e.*").distinct()
+    ranges = int(feat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = values.repartitionByRange(ranges, "column_name", "value").withColumn("_range", F.spark_partition_id())
+    ranged = materialize(ranged, "labels")
+    # At most one row per range and column.
+    earlier = Window.partitionBy("column_name").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("column_name", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("column_name", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("column_name", "_range").orderBy("value")) - 1
+    numbered = ranged.withColumn("_place", place).join(before, ["column_name", "_range"])
+    return numbered.select("column_name", "value", (F.col("_before") + F.col("_place")).cast("int").alias("code"))
 
 
 def _label(column: str) -> Column:
@@ -40,12 +48,15 @@ def _label(column: str) -> Column:
 def label_encode(feat: DataFrame, columns: tuple[str, ...] = CATEGORICAL_FEATURES) -> DataFrame:
     """Replace each category by its position among the sorted distinct values, from 0.
 
-    Rows meet the codes in a join that spreads a frequent category.
+    The codes of all columns come from one pass; rows meet them in joins that spread a frequent category.
     """
-    encoded = feat
-    for c in [c for c in columns if c in feat.columns]:
-        codes = label_codes(feat, c)
-        joined = join_dimension(encoded.withColumn(c, _label(c)), codes, c, spread_by=["customer_id"])
+    present = [c for c in columns if c in feat.columns]
+    if not present:
+        return feat
+    codes, encoded = label_codes(feat, present), feat
+    for c in present:
+        own = codes.filter(F.col("column_name") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))
+        joined = join_dimension(encoded.withColumn(c, _label(c)), own, c, spread_by=["customer_id"])
         encoded = joined.withColumn(c, F.col("_code")).drop("_code")
     return encoded.select(*feat.columns)
 

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retain.config import DEFAULT, Config
 from retain.functions.numeric import clip
@@ -29,8 +30,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | Non
     an aggregation, not a window: each task keeps one row per key before the shuffle, so a
     key with very many copies reaches its final task as one row per task. It also removes
     exact duplicates, since these share their key.
+
+    Where the source order is a row's place in its Parquet file, as `read_parquet` gives it, no
+    two rows tie. Then keys and places alone decide, and the rows are fetched by their places.
     """
     keys = list(keys)
+    if order_by is None and has_file_place(df):
+        places = df.groupBy(*keys).agg(F.min(INGEST_ORDER).alias(INGEST_ORDER)).select(INGEST_ORDER)
+        return df.join(places, INGEST_ORDER, "left_semi").select(*df.columns)
     rest = [c for c in df.columns if c not in keys]
     if order_by is None:
         order_by = [INGEST_ORDER] if INGEST_ORDER in df.columns else []
@@ -41,6 +48,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | Non
     )
 
 
+def has_file_place(df: DataFrame) -> bool:
+    kind = df.schema[INGEST_ORDER].dataType if INGEST_ORDER in df.columns else None
+    return isinstance(kind, T.StructType) and "row_index" in kind.names
+
+
 def drop_null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with a null in any of the listed columns are dropped."""
     return df.dropna(subset=[c for c in columns if c in df.columns])

@@ -55,7 +55,8 @@ def star_fact(
         "order_status", "channel",
     )
     paid = order_payments(payments)
-    buyer = customers.select("customer_id", "customer_segment", "state")
+    region = F.col("country") if "country" in customers.columns else F.lit(None).cast("string")
+    buyer = customers.select("customer_id", "customer_segment", "state", region.alias("region"))
     item = products.select("product_id", "product_name", "category")
     joined = facts
     for dimension, key in ((buyer, "customer_id"), (item, "product_id"), (paid, "order_id")):
@@ -63,13 +64,30 @@ def star_fact(
     return (
         joined.withColumns({"year": F.year("order_date"), "year_month": month_label(F.col("order_date"))})
         .select(
-            *ids, "order_date", "year", "year_month", "customer_id", "customer_segment", "state",
+            *ids, "order_date", "year", "year_month", "customer_id", "customer_segment", "state", "region",
             "product_id", "product_name", "category", "payment_method", "payment_status",
             F.coalesce("payments", F.lit(0)).alias("payments"), "paid_amount", "quantity", "discount", "total_amount", "order_status", "channel",
         )
     )
 
 
+def store_star(fact: DataFrame, path: str) -> DataFrame:
+    """The star written by month, and read back with the types it had."""
+    fact.write.partitionBy("year_month").parquet(path)
+    return fact.sparkSession.read.schema(fact.schema).parquet(path).select(*fact.columns)
+
+
+def slice_star(stored: DataFrame, dates: DataFrame, date_from: dt.date, date_to: dt.date, **slicers) -> DataFrame:
+    """`apply_slicers` on a star stored by month, which reads only the months of the date dimension's days.
+
+    The dimension is filtered and joined by month; its months are known when the star is scanned.
+    """
+    days = dates.filter(F.col("date").between(F.lit(date_from), F.lit(date_to)))
+    # One row per calendar month.
+    inside = stored.join(F.broadcast(days.select("year_month").distinct()), "year_month", "left_semi")
+    return apply_slicers(inside, date_from=date_from, date_to=date_to, **slicers).select(*stored.columns)
+
+
 def apply_slicers(
     fact: DataFrame,
     *,
@@ -79,6 +97,7 @@ def apply_slicers(
     categories: Sequence[str] | None = None,
     channels: Sequence[str] | None = None,
     states: Sequence[str] | None = None,
+    regions: Sequence[str] | None = None,
 ) -> DataFrame:
     """Dashboard filters; those that are None let every row pass."""
     tests: list[Column] = []
@@ -88,6 +107,7 @@ def apply_slicers(
         tests.append(F.col("order_date") <= F.lit(date_to))
     for column, allowed in (
         ("customer_segment", segments), ("category", categories), ("channel", channels), ("state", states),
+        ("region", regions),
     ):
         if allowed is not None:
             tests.append(F.col(column).isin(*allowed))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -13,6 +12,7 @@ from retain.config import DEFAULT, HEATMAP_COLUMNS, NUMERIC_FEATURES, TARGET, Co
 from retain.functions.numeric import ratio, round_half_even
 from retain.functions.quantiles import exact_quantiles
 from retain.functions.rows import add_row, with_row
+from retain.functions.special import two_sided_p
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -153,8 +153,8 @@ def correlation_matrix(
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def welch(feat: DataFrame, column: str = "monetary", flag: str = TARGET) -> DataFrame:
-    """Welch's t statistic and degrees of freedom for flag = 1 against flag = 0, one row."""
+def welch(feat: DataFrame, column: str = "monetary", flag: str = TARGET, alpha: float = DEFAULT.alpha) -> DataFrame:
+    """Welch's test of flag = 1 against flag = 0, one row. A test that is not defined is not significant."""
     x = F.col(column).cast("double")
     parts = []
     for name, value in (("a", 1), ("b", 0)):
@@ -173,53 +173,22 @@ def welch(feat: DataFrame, column: str = "monetary", flag: str = TARGET) -> Data
         spread * spread,
         ratio(se_a * se_a, F.col("n_a") - 1) + ratio(se_b * se_b, F.col("n_b") - 1),
     )
-    return row.select(
-        round_half_even(t, 4).alias("t_statistic"),
-        round_half_even(freedom, 4).alias("degrees_of_freedom"),
+    # Written out once, as the p-value uses them many times.
+    tested = row.select("*", t.alias("_t"), freedom.alias("_df")).select("*", two_sided_p(F.col("_t"), F.col("_df")).alias("_p"))
+    return tested.select(
+        round_half_even(F.col("_t"), 4).alias("t_statistic"),
+        round_half_even(F.col("_df"), 4).alias("degrees_of_freedom"),
+        round_half_even(F.col("_p"), 6).alias("p_value"),
+        F.coalesce(F.col("_p") < alpha, F.lit(False)).alias("significant"),
         round_half_even(F.col("mean_a"), 2).alias("churned_mean"),
         round_half_even(F.col("mean_b"), 2).alias("retained_mean"),
         F.col("n_a").alias("churned_n"),
         F.col("n_b").alias("retained_n"),
-        t.alias("_t"),
-        freedom.alias("_df"),
     )
 
 
 def hypothesis_test(feat: DataFrame, config: Config = DEFAULT) -> dict[str, object]:
-    """Welch's test with its p-value. Only the one result row reaches the driver."""
-    row = welch(feat).first()
-    p = two_sided_p(row["_t"], row["_df"])
-    return {
-        "test": "Welch's t-test of monetary value, churned against retained",
-        "t_statistic": row["t_statistic"],
-        "p_value": None if p is None else round(p, 6),
-        "significant": p is not None and p < config.alpha,
-        "churned_mean": row["churned_mean"],
-        "retained_mean": row["retained_mean"],
-    }
-
-
-def two_sided_p(t: float | None, df: float | None) -> float | None:
-    """P(|T| > |t|) of Student's distribution, as a regularized incomplete beta value."""
-    if t is None or df is None:
-        return None
-    return _incomplete_beta(df / (df + t * t), df / 2.0, 0.5)
-
-
-def _incomplete_beta(x: float, a: float, b: float) -> float:
-    """Regularized incomplete beta by its continued fraction, evaluated from the tail."""
-    if x <= 0.0 or x >= 1.0:
-        return min(max(x, 0.0), 1.0)
-    if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - _incomplete_beta(1.0 - x, b, a)
-    log_front = (
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
-    fraction = 1.0
-    # The number of terms needed grows with the square root of the larger parameter.
-    for m in range(200 + int(4 * math.sqrt(max(a, b))), 0, -1):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        fraction = 1.0 + even / (1.0 + odd / fraction)
-    first = -(a + b) * x / (a + 1.0)
-    return math.exp(log_front) / (a * (1.0 + first / fraction))
+    """The row of Welch's test as a dictionary."""
+    row = welch(feat, alpha=config.alpha).first()
+    wanted = ("t_statistic", "p_value", "significant", "churned_mean", "retained_mean")
+    return {"test": "Welch's t-test of monetary value, churned against retained"} | {name: row[name] for name in wanted}

@@ -238,6 +238,16 @@ def dq_distinct(spark, sf_dir):
     return profiling.distinct_counts(raw_bundle(spark, sf_dir))
 
 
+@query
+def dq_distinct_sketch(spark, sf_dir):
+    """The estimates from sketches, held against the exact counts and the stated error."""
+    bundle = raw_bundle(spark, sf_dir)
+    both = profiling.distinct_counts(bundle).join(profiling.distinct_estimates(bundle), ["table_name", "column_name"])
+    off = F.abs(F.col("estimate") - F.col("unique_vals"))
+    within = off <= F.col("unique_vals") * 4 * profiling.sketch_error() + 1
+    return both.select("table_name", "column_name", "unique_vals", within.alias("within_error"))
+
+
 @query
 def dq_dup_rows(spark, sf_dir):
     return profiling.duplicate_rows(raw_bundle(spark, sf_dir))
@@ -666,14 +676,17 @@ def star_fact(spark, sf_dir):
 
 @query
 def sliced_revenue(spark, sf_dir):
-    sliced = star.apply_slicers(
-        star_fact(spark, sf_dir),
-        date_from=dt.date(1999, 1, 1),
-        date_to=dt.date(2000, 12, 31),
+    fact = star.star_fact(lines(spark, sf_dir), customers(spark, sf_dir), products(spark, sf_dir), payments(spark, sf_dir))
+    sliced = star.slice_star(
+        star.store_star(fact, shared_path(spark, "star")),
+        star.dim_date(retail_star.orders(spark, sf_dir)),
+        dt.date(1999, 1, 1),
+        dt.date(2000, 12, 31),
         segments=["BUILDING", "MACHINERY"],
         categories=["ECONOMY", "STANDARD", "PROMO"],
         channels=["1-URGENT", "2-HIGH"],
-        states=["FRANCE", "GERMANY", "INDIA", "CHINA", "BRAZIL", "CANADA", "KENYA", "PERU", "JAPAN", "IRAN"],
+        states=[f"NATION_{i}" for i in range(20)],
+        regions=["AMERICA", "ASIA", "EUROPE"],
     )
     return star.revenue_by_month_and_channel(sliced)
 
@@ -719,7 +732,7 @@ def corr_matrix(spark, sf_dir):
 
 @query
 def welch_t(spark, sf_dir):
-    return statistics.welch(values(spark, sf_dir)).drop("_t", "_df")
+    return statistics.welch(values(spark, sf_dir))
 
 
 # Churn model ----------------------------------------------------------------------------

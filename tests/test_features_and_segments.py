@@ -2,6 +2,7 @@ import datetime as dt
 from itertools import product
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from retain import Config

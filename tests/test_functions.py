@@ -1,9 +1,11 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from retain.functions import clip, exact_quantiles, join_dimension, round_half_even
-from retain.operators.statistics import two_sided_p
+from retain.functions.special import log_gamma, two_sided_p
 
 FRACTIONS = [0.0, 0.2, 0.25, 0.5, 0.75, 0.8, 0.95, 1.0]
 
@@ -76,9 +78,19 @@ def test_join_with_hot_and_null_keys(spark, how):
     assert "SortMergeJoin" in plan and "_salt" in plan
 
 
-def test_student_p_values():
-    assert two_sided_p(2.0, 10) == pytest.approx(0.0733880, abs=1e-6)
-    assert two_sided_p(1.0, 1) == pytest.approx(0.5, abs=1e-9)
-    assert two_sided_p(-1.959964, 1e9) == pytest.approx(0.05, abs=1e-5)
-    assert two_sided_p(0.0, 12) == pytest.approx(1.0)
-    assert two_sided_p(None, 5) is None
+def test_student_p_values(spark):
+    # Table values, and a normal limit.
+    known = [(2.0, 10.0, 0.0733880, 1e-7), (1.0, 1.0, 0.5, 1e-9), (-1.959964, 1e9, 0.05, 1e-6), (0.0, 12.0, 1.0, 1e-12),
+             (2.2281389, 10.0, 0.05, 1e-8), (12.7062047, 1.0, 0.05, 1e-9), (40.0, 5000.0, 0.0, 1e-12), (1e-3, 3.0, 0.9992649, 1e-6)]
+    df = spark.createDataFrame([(i, t, v) for i, (t, v, _, _) in enumerate(known)], "i int, t double, v double")
+    got = {r.i: r.p for r in df.select("i", two_sided_p(F.col("t"), F.col("v")).alias("p")).collect()}
+    for i, (_, _, p, tolerance) in enumerate(known):
+        assert got[i] == pytest.approx(p, abs=tolerance)
+    absent = spark.createDataFrame([(None, 5.0), (1.0, None), (1.0, 0.0)], "t double, v double")
+    assert [r.p for r in absent.select(two_sided_p(F.col("t"), F.col("v")).alias("p")).collect()] == [None] * 3
+
+
+def test_log_gamma(spark):
+    values = [0.5, 1.0, 2.5, 10.0, 1234.5, 1e7]
+    got = spark.createDataFrame([(v,) for v in values], "z double").select(log_gamma(F.col("z"))).collect()
+    assert [r[0] for r in got] == pytest.approx([math.lgamma(v) for v in values], rel=1e-13, abs=1e-13)

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retain import Config
-from retain.operators import churn, evaluation, kmeans, statistics
+from retain.operators import churn, evaluation, kmeans, profiling, statistics
 
 PREDICTION = "label int, prediction int, score double"
 
@@ -108,3 +108,28 @@ def test_clusters_are_named_by_spend(spark):
     profile = kmeans.cluster_names(kmeans.kmeans_profile(clustered)).orderBy(F.desc("median_monetary")).collect()
     assert [r.kmeans_segment for r in profile] == list(kmeans.CLUSTER_NAMES)
     assert sum(r.customers for r in profile) == 400
+
+
+def test_codes_of_many_values_with_one_head_are_spread(spark):
+    values = [f"common/head/{i:05d}" for i in range(20_000)]
+    df = spark.createDataFrame([(v, None if i % 2 else "b") for i, v in enumerate(reversed(values))], "long string, short string")
+    codes = churn.label_codes(df, ["long", "short"])
+    got = {(r.column_name, r.value): r.code for r in codes.collect()}
+    assert [got["long", v] for v in values] == list(range(20_000))
+    assert (got["short", "b"], got["short", "nan"], len(got)) == (0, 1, 20_002)
+    ranges = df.sparkSession.read.parquet(codes.inputFiles()[0].rsplit("/", 1)[0])
+    sizes = [r["count"] for r in ranges.groupBy("_range").count().collect()]
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 10_000
+
+
+def test_sketches_of_files_merge(spark, tmp_path):
+    frame = lambda a, b: spark.range(a, b).selectExpr("id", "CAST(id % 700 AS DOUBLE) AS x", "CAST(id AS STRING) AS s")
+    paths = []
+    for i, (a, b) in enumerate([(0, 30_000), (20_000, 60_000)]):
+        frame(a, b).coalesce(1).write.parquet(str(tmp_path / str(i)))
+        paths.append(str(tmp_path / str(i)))
+    sketches = profiling.distinct_sketches(spark.read.parquet(*paths), F.input_file_name())
+    assert sketches.count() == 2
+    got = {r.column_name: r.estimate for r in profiling.merged_estimates(sketches).collect()}
+    for column, n in {"id": 60_000, "x": 700, "s": 60_000}.items():
+        assert abs(got[column] - n) <= 4 * profiling.sketch_error() * n + 1
