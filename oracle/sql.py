@@ -411,6 +411,23 @@ check("null_tokens", """
 SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 7 > 3 THEN c_mktsegment END AS customer_segment FROM customer""")
 check("parse_dates", """
 SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 41 > 2 THEN strftime(o_orderdate, '%Y-%m-%d') END AS order_date FROM orders""")
+_all, _none = "count(*)", "count(*) FILTER (WHERE FALSE)"
+check("inferred_types", union([
+    f"SELECT '{c}' AS column_name, CAST({n} AS BIGINT) AS present, CAST({b} AS BIGINT) AS fits_boolean, CAST({w} AS BIGINT) AS fits_bigint, "
+    f"CAST({x} AS BIGINT) AS fits_double, CAST({d} AS BIGINT) AS fits_date, '{kind}' AS inferred FROM customer"
+    for c, n, b, w, x, d, kind in (
+        ("whole", _all, _none, _all, _all, _none, "bigint"),
+        ("gaps", *["count(*) FILTER (WHERE c_custkey % 3 > 0)" if v else _none for v in (1, 0, 1, 1, 0)], "bigint"),
+        ("amount", _all, _none, _none, _all, _none, "double"),
+        ("either", _all, _none, "count(*) FILTER (WHERE c_custkey % 2 = 0)", _all, _none, "double"),
+        ("day", _all, _none, _none, _none, _all, "date"),
+        ("not_day", _all, _none, _none, _none, "count(*) FILTER (WHERE c_custkey % 7 > 0)", "string"),
+        ("flag", _all, _all, _none, _none, _none, "boolean"),
+        ("mixed", _all, _none, *["count(*) FILTER (WHERE c_custkey % 5 > 0)"] * 2, _none, "string"),
+        ("nothing", _none, _none, _none, _none, _none, "string"),
+        ("beyond", _all, _none, _none, _all, _none, "double"),
+    )
+]))
 check("table_summary", union([
     f"SELECT '{n.capitalize()}' AS table_name, count(*) AS rows, {len(COLUMNS[n])} AS columns FROM raw_{n}" for n in DTYPES
 ]))
@@ -687,6 +704,14 @@ SELECT churned, {even("min(clv)", 6)} AS min, {even("quantile_cont(clv, 0.25)",
        min(clv) FILTER (WHERE clv >= a - 1.5 * (b - a)) AS whisker_low, max(clv) FILTER (WHERE clv <= b + 1.5 * (b - a)) AS whisker_high
 FROM feat JOIN {_fences} USING (churned) WHERE clv > 0 GROUP BY 1""")
 
+check("amount_box_by_customer", f"""
+SELECT customer_id, {even("min(total_amount)", 6)} AS min, {even("any_value(a)", 6)} AS q1, {even("quantile_cont(total_amount, 0.5)", 6)} AS median,
+       {even("any_value(b)", 6)} AS q3, {even("max(total_amount)", 6)} AS max, count(total_amount) AS customers,
+       {even("min(total_amount) FILTER (WHERE total_amount >= a - 1.5 * (b - a))", 6)} AS whisker_low,
+       {even("max(total_amount) FILTER (WHERE total_amount <= b + 1.5 * (b - a))", 6)} AS whisker_high
+FROM c_orders JOIN (SELECT customer_id, quantile_cont(total_amount, 0.25) AS a, quantile_cont(total_amount, 0.75) AS b FROM c_orders GROUP BY 1)
+     USING (customer_id) GROUP BY 1""")
+
 
 def correlation(a: str, b: str) -> str:
     return f"CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN {even(f'corr({a}, {b})', 4)} END"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from retain.config import DEFAULT, HEATMAP_COLUMNS, NUMERIC_FEATURES, TARGET, Config
 from retain.functions.numeric import ratio, round_half_even
 from retain.functions.quantiles import exact_quantiles
+from retain.functions.ranks import RankedValues
 from retain.functions.rows import add_row, with_row
 from retain.functions.special import two_sided_p
 
@@ -85,28 +86,32 @@ def histogram(df: DataFrame, column: str, bins: int, cap_at: float | None = None
 
 
 def box_plot(df: DataFrame, group: str, column: str) -> DataFrame:
-    """Five-number summary per group, with whiskers at the last value within 1.5 IQR."""
-    rows = df.select(group, F.col(column).cast("double").alias("_x"))
-    q = F.col("_x")
-    summary = exact_quantiles(rows, ["_x"], [0.0, 0.25, 0.5, 0.75, 1.0], by=[group]).select(
-        group,
-        *[
-            round_half_even(F.get(q, F.lit(i)), 6).alias(name)
-            for i, name in enumerate(("min", "q1", "median", "q3", "max"))
-        ],
-    )
-    # One row per group, a handful of statuses.
-    reach = (F.col("q3") - F.col("q1")) * 1.5
+    """Five-number summary per group, with whiskers at the last value within 1.5 IQR.
+
+    Groups may be many or large: values are counted and ranked by ranges, and meet their group's
+    quartiles once per group and range.
+    """
+    ranked = RankedValues(df, group, column)
+    q = ranked.quantiles([0.0, 0.25, 0.5, 0.75, 1.0])
+    reach = (F.get("q", F.lit(3)) - F.get("q", F.lit(1))) * 1.5
+    limits = q.select(group, (F.get("q", F.lit(1)) - reach).alias("_low"), (F.get("q", F.lit(3)) + reach).alias("_high"))
+    x = F.col("_x")
     whiskers = (
-        rows.join(F.broadcast(summary.select(group, "q1", "q3")), group)
+        ranked.with_parts(ranked.parts().select(group, "_range").join(limits, group))
         .groupBy(group)
         .agg(
-            F.count("_x").alias("customers"),
-            F.min(F.when(F.col("_x") >= F.col("q1") - reach, F.col("_x"))).alias("whisker_low"),
-            F.max(F.when(F.col("_x") <= F.col("q3") + reach, F.col("_x"))).alias("whisker_high"),
+            F.min(F.when(x >= F.col("_low"), x)).alias("whisker_low"), F.max(F.when(x <= F.col("_high"), x)).alias("whisker_high"),
         )
     )
-    return summary.join(F.broadcast(whiskers), group)
+    summary = q.select(
+        group,
+        *[
+            round_half_even(F.get("q", F.lit(i)), 6).alias(name)
+            for i, name in enumerate(("min", "q1", "median", "q3", "max"))
+        ],
+        F.col("n").alias("customers"),
+    )
+    return summary.join(whiskers, group)
 
 
 def pearson(a: str, b: str) -> Column:

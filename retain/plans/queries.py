@@ -15,7 +15,7 @@ from retain.functions.numeric import MONEY_TYPE, round_half_even
 from retain.operators import churn, cleaning, evaluation, features, kmeans, kpis, migration
 from retain.operators import profiling, retention, revenue, segmentation, star, statistics
 from retain.session import materialize, shared_path
-from retain.sources import retail_star
+from retain.sources import inference, retail_star
 from retain.sources.bundle import (
     INGEST_ORDER, Bundle, load_all, nullify_tokens, parse_date, write_table,
 )
@@ -207,6 +207,29 @@ def parse_dates(spark, sf_dir):
     )
 
 
+@query
+def inferred_types(spark, sf_dir):
+    """Columns that no schema knows, written as CSV: the votes on their types."""
+    key = F.col("c_custkey")
+    text = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        key.alias("whole"), F.when(key % 3 > 0, key).alias("gaps"), F.col("c_acctbal").alias("amount"),
+        F.when(key % 2 == 0, key.cast("string")).otherwise(F.col("c_acctbal").cast("string")).alias("either"),
+        F.date_format(F.date_add(F.lit(dt.date(2001, 1, 1)), (key % 365).cast("int")), "yyyy-MM-dd").alias("day"),
+        F.when(key % 7 == 0, "2001-02-30").otherwise("2001-02-03").alias("not_day"),
+        (key % 2 == 0).cast("string").alias("flag"), F.when(key % 5 == 0, "12d").otherwise("12").alias("mixed"),
+        F.when(key % 2 == 0, "N/A").otherwise("None").alias("nothing"), F.lit("99999999999999999999").alias("beyond"),
+    )
+    path = write_table(text, shared_path(spark, "untyped"), "csv")
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    return inference.type_votes(raw, raw.columns)
+
+
+@query
+def amount_box_by_customer(spark, sf_dir):
+    """Five-number summaries of order amounts by customer: as many groups as customers."""
+    return rounded(statistics.box_plot(orders(spark, sf_dir), "customer_id", "total_amount"))
+
+
 @query
 def table_summary(spark, sf_dir):
     return profiling.table_summary(raw_bundle(spark, sf_dir))

@@ -85,11 +85,13 @@ def _csv_text(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, name: str, *, multiline: bool = False, formats: Sequence[str] = DATE_FORMATS
+    spark: SparkSession, path: str, name: str, *, multiline: bool = False, formats: Sequence[str] = DATE_FORMATS,
+    infer: bool = False,
 ) -> DataFrame:
     """One table from headered CSV: all columns are read by name as text, then typed.
 
-    Columns outside the schema are kept as text. `multiline` allows line breaks inside quoted
+    Columns outside the schema are kept as text, or with `infer` get the narrowest type that all
+    their values fit, which reads those columns once more. `multiline` allows line breaks inside quoted
     values but makes each file one task, so it is off by default. What cannot be typed is null;
     `unreadable` counts it.
     """
@@ -101,10 +103,15 @@ def read_csv(
         F.monotonically_increasing_id().alias("row"),
     )
     schema = SCHEMAS[name]
-    return raw.select(
+    table = raw.select(
         *[_from_text(name, c, schema.get(c, T.StringType()), formats).alias(c) for c in raw.columns],
         position.alias(INGEST_ORDER),
     )
+    if not infer:
+        return table
+    from retain.sources.inference import with_inferred_types  # it needs the readers of dates and null tokens from here
+
+    return with_inferred_types(table, [c for c in raw.columns if c not in schema], formats)
 
 
 def unreadable(
@@ -142,7 +149,7 @@ def read_parquet(
 def load_all(spark: SparkSession, folder: str, fmt: str = "csv", **options) -> Bundle:
     """All five tables from `<folder>/<table>.<fmt>`, each a file or a folder of files.
 
-    `options` (`formats`, and `multiline` for CSV) go to the reader.
+    `options` (`formats`, and `multiline` and `infer` for CSV) go to the reader.
     """
     reader = {"csv": read_csv, "parquet": read_parquet}[fmt]
     tables = {}

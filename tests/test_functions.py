@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from retain.functions import clip, exact_quantiles, join_dimension, round_half_even
+from retain.functions.ranks import RankedValues
 from retain.functions.special import log_gamma, two_sided_p
+from retain.operators.statistics import box_plot
 
 FRACTIONS = [0.0, 0.2, 0.25, 0.5, 0.75, 0.8, 0.95, 1.0]
 
@@ -94,3 +96,26 @@ def test_log_gamma(spark):
     values = [0.5, 1.0, 2.5, 10.0, 1234.5, 1e7]
     got = spark.createDataFrame([(v,) for v in values], "z double").select(log_gamma(F.col("z"))).collect()
     assert [r[0] for r in got] == pytest.approx([math.lgamma(v) for v in values], rel=1e-13, abs=1e-13)
+
+
+def test_ranked_values_of_many_and_of_large_groups(spark):
+    draw = np.random.default_rng(9)
+    rows = [("hot", float(v)) for v in np.round(draw.normal(0, 100, 20_000), 1)]
+    rows += [(f"g{i % 3000:04d}", float(v)) for i, v in enumerate(draw.integers(0, 50, 9000))]
+    df = spark.createDataFrame([*rows, (None, 1.0), ("none", None)], "g string, x double")
+    ranked = RankedValues(df, "g", "x")
+    got = ranked.quantiles([0.0, 0.25, 0.9, 1.0])
+    groups = {}
+    for g, x in rows:
+        groups.setdefault(g, []).append(x)
+    found = {r.g: (r.q, r.n) for r in got.collect()}
+    assert set(found) == set(groups)
+    for g, values in groups.items():
+        assert found[g][1] == len(values) and found[g][0] == pytest.approx(np.quantile(values, [0, 0.25, 0.9, 1]), rel=1e-12)
+    assert ranked.counts.filter("g = 'hot'").select("_range").distinct().count() > 1
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Broadcast" not in box_plot(df, "g", "x")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from retain.operators import cleaning, profiling
 from retain.sources.bundle import INGEST_ORDER, load_all, read_csv, read_parquet, unreadable, write_table
+from retain.sources.inference import type_votes
+from retain.sources.schemas import REQUIRED
 
 CUSTOMERS = """customer_id,registration_date,age,gender,city,state,customer_segment,loyalty_points,phone
 C1,2023-01-05,34.0,Female,"Rome, north",N/A,B2C,10,555
@@ -124,3 +126,26 @@ def test_profile_counts(spark):
     empty = df.filter(F.lit(False))
     nulls = profiling.null_counts(Bundle(empty, empty, empty, empty, empty)).first()
     assert nulls.null_pct is None or math.isnan(nulls.null_pct)
+
+
+def test_columns_outside_the_schema_get_types(spark, tmp_path):
+    names = [*REQUIRED["payments"], "tax", "note", "seen", "empty", "big", "ok"]
+    lines = [",".join(names)]
+    for i in range(6):
+        known = {c: str(i) for c in REQUIRED["payments"]} | {"payment_date": "2024-01-02"}
+        lines.append(",".join([known[c] for c in REQUIRED["payments"]] + ["" if i == 3 else f"{i}.5", f"{i}x", "2024-02-03", "N/A", " 7 ", "TRUE"]))
+    (tmp_path / "payments.csv").write_text("\n".join(lines))
+    df = read_csv(spark, str(tmp_path / "payments.csv"), "payments", infer=True)
+    kinds = dict(df.dtypes)
+    assert [kinds[c] for c in names[-6:]] == ["double", "string", "date", "string", "bigint", "boolean"]
+    rows = df.orderBy("payment_id").collect()
+    assert [r.tax for r in rows] == [0.5, 1.5, 2.5, None, 4.5, 5.5] and rows[0].big == 7 and rows[0].ok is True and rows[0].empty is None
+    assert dict(read_csv(spark, str(tmp_path / "payments.csv"), "payments").dtypes)["tax"] == "string"
+
+
+def test_votes_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a string, b string")
+    got = {r.column_name: (r.present, r.inferred) for r in type_votes(df, ["a", "b"]).collect()}
+    assert got == {"a": (0, "string"), "b": (0, "string")}
+    odd = spark.createDataFrame([("1d", "Infinity"), ("2", "-1e5"), ("3", ".5")], "a string, b string")
+    assert [r.inferred for r in type_votes(odd, ["a", "b"]).orderBy("column_name").collect()] == ["string", "double"]
