@@ -45,33 +45,51 @@ SPACED[[0x20, *range(0x09, 0x0E)]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
-_VALUES = seeds(256, 11)[LOWER]
+# The two largest primes below 2^31. A word's polynomials modulo two primes do not vanish
+# together by structure, as one modulo 2^64 does for long words that repeat by powers of two.
+PRIMES = (2147483647, 2147483629)
+_VALUES = [(v % np.uint64(p)).astype(np.uint64) for v, p in zip((seeds(256, 11)[LOWER], seeds(256, 13)[LOWER]), PRIMES)]
 
 
 class _Powers:
-    """Powers of an odd base modulo 2^64 and of its inverse, as far as a text has needed."""
+    """Powers of a base modulo a prime and of its inverse, as far as a text has needed."""
 
-    def __init__(self):
-        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+    def __init__(self, prime: int):
+        self.prime, self.base = prime, int(_BASE % prime)
+        self.up, self.down = np.ones(1, np.uint32), np.ones(1, np.uint32)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = 1 << (n - 1).bit_length()
-            inverse = pow(_BASE, -1, 1 << 64)
-            self.up, self.down = (self._table(b, size) for b in (_BASE, inverse))
+            self.up, self.down = (self._table(b, size) for b in (self.base, pow(self.base, -1, self.prime)))
         return self.up[:n], self.down[:n]
 
-    @staticmethod
-    def _table(base: int, size: int) -> np.ndarray:
-        out = np.empty(size, np.uint64)
+    def _table(self, base: int, size: int) -> np.ndarray:
+        out = np.empty(size, np.uint32)
         out[0], done = 1, 1
         while done < size:
-            out[done : 2 * done] = out[:done] * np.uint64(pow(base, done, 1 << 64))
+            step = np.uint64(pow(base, done, self.prime))
+            out[done : 2 * done] = out[:done].astype(np.uint64) * step % np.uint64(self.prime)
             done *= 2
         return out
 
 
-powers = _Powers()
+powers = [_Powers(p) for p in PRIMES]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 62-bit hash of each span of bytes, ASCII letters lower-cased, the same wherever it lies."""
+    parts = []
+    for values, table in zip(_VALUES, powers):
+        prime = np.uint64(table.prime)
+        up, down = table.get(max(len(data), 1))
+        terms = values[data]
+        terms *= up[: len(data)]
+        terms %= prime
+        # Below 2^31 each, so the sum of up to 2^32 terms fits.
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+        parts.append((sums[ends] - sums[starts]) % prime * down[starts] % prime)
+    return mixed(parts[0] << np.uint64(31) | parts[1])
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +113,7 @@ def runs(offsets: np.ndarray, limit: int = RUN_BYTES) -> Iterator[tuple[int, int
 
 
 class Words:
-    """Words of a run of texts: byte spans, 64-bit hashes of their ASCII-lower-cased bytes, and
+    """Words of a run of texts: byte spans, 62-bit hashes of their ASCII-lower-cased bytes, and
     the index of each text's first word (`first` has one more entry than there are texts)."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: np.ndarray):
@@ -111,11 +129,7 @@ class Words:
             end[at - 1] = word[at - 1]
         self.starts, self.ends = np.flatnonzero(start), np.flatnonzero(end) + 1
         self.first = np.searchsorted(self.starts, offsets)
-        up, down = powers.get(max(n, 1))
-        sums = np.empty(n + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(_VALUES[data] * up, out=sums[1:])
-        self.hashes = mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        self.hashes = span_hashes(data, self.starts, self.ends)
         self.counts = np.diff(self.first)
 
     def bytes_of(self, i: int) -> bytes:

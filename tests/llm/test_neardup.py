@@ -123,3 +123,13 @@ def test_contract_maps_to_the_least_node(spark):
     edges = spark.createDataFrame([(5, 4), (4, 9), (9, 2), (7, 8), (8, 7)], "x long, y long")
     roots = {r["node"]: r["root"] for r in neardup.contract(edges.select(F.col("x"), F.col("y"))).collect()}
     assert roots == {5: 2, 4: 2, 9: 2, 2: 2, 7: 7, 8: 7}
+
+
+def test_long_words_that_differ_by_powers_of_two_are_different(spark, frame):
+    """The Thue-Morse word and its complement: equal polynomials modulo 2^64 for every odd base."""
+    for size in (1024, 2048, 4096):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(size))
+        other = word.translate(str.maketrans("ab", "ba"))
+        docs = [(1, f"{word} x y z"), (2, f"{other} x y z"), (3, f"{word.upper()}  x y z")]
+        found = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(docs), percent=85, size=3).collect()}
+        assert found == {1: 1, 2: 2, 3: 1}
