@@ -72,8 +72,11 @@ def star_fact(
 
 
 def store_star(fact: DataFrame, path: str) -> DataFrame:
-    """The star written by month, and read back with the types it had."""
-    fact.write.partitionBy("year_month").parquet(path)
+    """The star written by month, and read back with the types it had.
+
+    Rows are brought together by month first, large months in several tasks, so a task writes few files.
+    """
+    fact.hint("rebalance", F.col("year_month")).write.partitionBy("year_month").parquet(path)
     return fact.sparkSession.read.schema(fact.schema).parquet(path).select(*fact.columns)
 
 
