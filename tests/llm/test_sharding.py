@@ -34,6 +34,47 @@ def test_target_bytes_and_odd_counts(spark, frame):
     assert sharding.shard(docs, target_bytes=20_000).select("shard").distinct().count() == 3
 
 
+def brute(rows, cell, parts, dims):
+    """The shard of every row (at, tie, size) by cutting sorted lists."""
+    if parts == 1 or not rows:
+        return {r: cell for r in rows}
+    spans = [max(r[0][d] for r in rows) - min(r[0][d] for r in rows) for d in range(dims)]
+    dim = spans.index(max(spans))
+    goal, upto, left = sum(r[2] for r in rows) * ((parts // 2) / parts), 0, []
+    ordered = sorted(rows, key=lambda r: (r[0][dim], r[1]))
+    for r in ordered:
+        if upto + r[2] >= goal:
+            left += [r] if upto + r[2] - goal <= goal - upto else []
+            break
+        left.append(r)
+        upto += r[2]
+    return brute(left, cell, parts // 2, dims) | brute(ordered[len(left):], cell + parts // 2, parts - parts // 2, dims)
+
+
+def test_whole_tree_against_sorted_lists(spark):
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    coded = sharding.coordinates(sharding.slim_rows(docs, sharding.metadata(docs)), 3).collect()
+    rows = [(tuple(r["at"]), r["tie"], r["size"], r["doc_id"]) for r in coded]
+    want = {r[3]: c for r, c in brute(rows, 0, 7, 3).items()}
+    out = sharding.shard(docs, n_shards=7, tolerance=0.0).collect()
+    assert {r["doc_id"]: r["shard"] for r in out} == want and len(out) == len(want) == len(rows)
+
+
+def test_values_with_a_common_head_are_cut_apart(spark, frame):
+    docs = frame([(i, "same size", "en", f"common_crawl_{'ab'[i % 2]}") for i in range(2000)])
+    out = sharding.shard(docs, n_shards=2).collect()
+    assert {(r["doc_id"] % 2, r["shard"]) for r in out} == {(0, 0), (1, 1)}
+
+
+def test_equal_rows_are_shared_out(spark, frame, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN_ROWS", 100)
+    out = sharding.shard(frame([(None, "one text")] * 4000), n_shards=8).toPandas()
+    held = out.groupby("shard")["size"].sum()
+    assert len(out) == 4000 and len(held) == 8 and held.max() <= 1.02 * held.mean()
+    for _, slots in out.groupby("shard")["slot"]:
+        assert sorted(slots) == list(range(len(slots)))
+
+
 def test_edge_cases(spark, frame):
     out = sharding.shard(frame(EDGE), n_shards=8).collect()
     assert len(out) == len(EDGE)
