@@ -3,8 +3,10 @@
 One Aho-Corasick pass over a text finds anchors: at-signs, plus signs, digits, schemes and
 identifier cues. From each, a local parser reads left and right and validates what it finds.
 Emails, IP addresses, payment cards and phone numbers follow fixed patterns (the base kinds);
-`link` (contact schemes and user names in web addresses) and `account` (bank and social
-security numbers behind a cue) are found besides.
+`link` (contact schemes and user names in web addresses), `account` (bank and social security
+numbers behind a cue) and `secret` (the value assigned to a token, key or password) are found
+besides. Schemes and cues are found in any mixture of cases; beyond the lengths that a
+number's standard sets, no pattern bounds what it reads.
 
 Spans are in code points, end exclusive. Defined cases: null and empty texts have no spans;
 spans of one kind never overlap, spans of different kinds may; very long runs of one character
@@ -25,22 +27,31 @@ from pyspark.sql import functions as F
 
 # The kinds in the order of their names in the result.
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "link", "account")
+KINDS = (*BASE_KINDS, "link", "account", "secret")
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 SPACED = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-USER_AT_HOST = re.compile(r"[A-Za-z0-9._~%!$&*+=-]{1,64}(?::[^\s/@<>\"']{0,256})?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]{1,5})?")
-MAILBOX = re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DIALLED = re.compile(r"\+?[0-9][0-9().-]{6,24}[0-9]")
-IBAN = re.compile(r"[\x20:#]{0,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
-SOCIAL = re.compile(r"[\x20:#]{0,3}([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
-ACCOUNT = re.compile(r"(?:\x20?(?:no\.?|number|nr\.?))?[\x20:#]{0,3}([0-9]{8,17})(?![0-9.-])", re.I)
-
+USER_AT_HOST = re.compile(
+    r"[A-Za-z0-9._~%!$&*+=-]++(?::[^\s/@<>\"']*+)?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]{1,5}(?![0-9]))?"
+)
+MAILBOX = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+DIALLED = re.compile(r"\+?[0-9][0-9().-]+[0-9]")
+IBAN = re.compile(r"[\x20:#]*+([A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){11,30}+)")
+SOCIAL = re.compile(r"[\x20:#]*+([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
+ACCOUNT = re.compile(r"(?:\x20?(?:no\.?|number|nr\.?))?[\x20:#]*+([0-9]{8,17})(?![0-9]|[.-][0-9])", re.I)
+SECRET = re.compile(r"[\"']?[\x20]*+[=:][\x20]*+(?:\"([^\"\s]++)\"|'([^'\s]++)'|([A-Za-z0-9_./+=~-]++))")
+
+# Fixed values, in lower case: texts are folded before the search.
 SCHEMES = {"mailto:": MAILBOX, "sip:": MAILBOX, "tel:": DIALLED, "http://": USER_AT_HOST, "https://": USER_AT_HOST, "ftp://": USER_AT_HOST}
-CUES = {"IBAN": "iban", "iban": "iban", "SSN": "social", "ssn": "social", "account": "account", "Account": "account", "acct": "account"}
+CUES = {"iban": "iban", "ssn": "social", "account": "account", "acct": "account"}
+SECRETS = ("token", "password", "passwd", "secret", "api_key", "api-key", "apikey", "access_key", "private_key")
+# Shortest and longest account number of the standard, and of a secret without quotes.
+IBAN_LENGTHS = (15, 34)
+BARE_SECRET = 16
+FOLD = {i: i + 32 for i in range(65, 91)}
 
 RESULT = "spans array<struct<kind:string,start:int,end:int>>"
 
@@ -53,14 +64,21 @@ def anchors() -> ahocorasick.Automaton:
     for digit in "0123456789":
         found.add_word(digit, ("digit", 1))
     for scheme in SCHEMES:
-        for form in {scheme, scheme.upper(), scheme.capitalize()}:
-            found.add_word(form, (scheme, len(form)))
+        found.add_word(scheme, (scheme, len(scheme)))
     for cue, what in CUES.items():
         found.add_word(cue, (what, len(cue)))
+    for cue in SECRETS:
+        found.add_word(cue, ("secret", len(cue)))
     found.make_automaton()
     return found
 
 
+def folded(text: str) -> str:
+    """`text` in lower case with every character in its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(FOLD)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -69,8 +87,28 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def iban_holds(text: str) -> bool:
-    return 15 <= len(text) <= 34 and int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+def iban_end(text: str, at: int, stop: int) -> int | None:
+    """The end of the longest valid account number that begins at `at` and whose last character ends a word.
+
+    The check (the number with its first four characters last, letters as two digits, is 1 modulo 97)
+    is carried along, so every length is tried in one pass.
+    """
+    value = lambda c: (int(c, 36), 100 if c.isalpha() else 10)
+    head, rest, n, found = text[at : at + 4], 0, 4, None
+    for pos in range(at + 4, stop):
+        if text[pos] == " ":
+            continue
+        number, base = value(text[pos])
+        rest, n = (rest * base + number) % 97, n + 1
+        if n > IBAN_LENGTHS[1]:
+            break
+        if n >= IBAN_LENGTHS[0] and not (pos + 1 < len(text) and text[pos + 1].isalnum()):
+            check = rest
+            for c in head:
+                number, base = value(c)
+                check = (check * base + number) % 97
+            found = pos + 1 if check == 1 else found
+    return found
 
 
 def dotted_quads(text: str, at: int) -> tuple[list[tuple[int, int]], int]:
@@ -89,8 +127,8 @@ def dotted_quads(text: str, at: int) -> tuple[list[tuple[int, int]], int]:
 def find(text: str) -> list[tuple[str, int, int]]:
     """All spans as (kind, start, end), by start and then by kind."""
     spans: list[tuple[str, int, int]] = []
-    email_end = dotted_end = spaced_end = link_end = account_end = 0
-    for last, (what, length) in anchors().iter(text):
+    email_end = dotted_end = spaced_end = link_end = account_end = secret_end = 0
+    for last, (what, length) in anchors().iter(folded(text)):
         at = last - length + 1
         if what == "digit":
             if at >= dotted_end:
@@ -114,8 +152,15 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 spans.append(("phone", at, number.end()))
         elif what in SCHEMES:
             if at >= link_end and not (at and text[at - 1].isalnum()) and (target := SCHEMES[what].match(text, last + 1)):
+                if SCHEMES[what] is not DIALLED or sum(c.isdigit() for c in target[0]) >= 7:
+                    spans.append(("link", at, target.end()))
                 link_end = target.end()
-                spans.append(("link", at, link_end))
+        elif what == "secret":
+            if at >= secret_end and (value := SECRET.match(text, last + 1)):
+                group = value.lastindex
+                secret_end = value.end()
+                if group < 3 or value.end() - value.start(3) >= BARE_SECRET:
+                    spans.append(("secret", *value.span(group)))
         elif at >= account_end and not (at and text[at - 1].isalnum()):
             if span := account(text, what, last + 1):
                 account_end = span[1]
@@ -128,7 +173,8 @@ def account(text: str, what: str, at: int) -> tuple[int, int] | None:
     """The number behind a cue that ends at `at`, if it is valid."""
     if what == "iban":
         if number := IBAN.match(text, at):
-            return number.span(1) if iban_holds(number[1].replace(" ", "")) else None
+            end = iban_end(text, number.start(1), number.end(1))
+            return (number.start(1), end) if end else None
     elif what == "social":
         if (number := SOCIAL.match(text, at)) and number[1] not in ("000", "666") and number[1] < "900" and number[2] != "00" and number[3] != "0000":
             return number.start(1), number.end()

@@ -45,6 +45,48 @@ def test_links_and_accounts():
     assert pii.redact("mail jo@x.org now") == "mail [EMAIL] now"
 
 
+def test_added_spans_in_any_case_and_of_any_length():
+    def added(text):
+        return [(k, text[a:b]) for k, a, b in pii.find(text) if k not in pii.BASE_KINDS]
+
+    assert added("IBAN: DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX") == [("account", "DE89 3704 0044 0532 0130 00")]
+    assert added("Iban DE89370400440532013000 and ACCOUNT 123456789.") == [
+        ("account", "DE89370400440532013000"), ("account", "123456789")
+    ]
+    assert added("İ SSN 123-45-6789") == [("account", "123-45-6789")]
+    assert added("iban AA00 " * 20_000) == []
+    for user, password in (("u" * 65, "p"), ("u", "p" * 300), ("u" * 70_000, "p" * 70_000)):
+        link = f"HTTPS://{user}:{password}@host.example"
+        assert added(f"at {link}/x") == [("link", link)]
+    long = "mailto:" + "m" * 5000 + "@x.org"
+    assert added(long) == [("link", long)]
+    assert added("tel:+49-170-1234567 tel:12") == [("link", "tel:+49-170-1234567")]
+
+
+def test_secrets():
+    def secrets(text):
+        return [text[a:b] for k, a, b in pii.find(text) if k == "secret"]
+
+    assert secrets('token = "04dbebab91ab"### API_KEY: \'k 1\' "password": "x-1", token=abcdefghijklmnop0') == ["04dbebab91ab", "x-1", "abcdefghijklmnop0"]
+    assert secrets("the token is here, password: none, secret = ") == []
+    assert secrets("token " * 20_000) == [] and secrets("token=" * 20_000 + "a") == ["token=" * 19_999 + "a"]
+
+
+def test_recall_over_planted_kinds(spark):
+    """Every value of the kinds that the documents hold, counted by plain patterns, lies in a span of its kind."""
+    plain = {k: p for k, p in zip(pii.BASE_KINDS, (EMAIL, IP, CARD, PHONE))} | {"secret": re.compile(r'(?<=token = ")[0-9a-f]+(?=")')}
+    wanted, got, with_secret = {k: 0 for k in plain}, {k: 0 for k in plain}, 0
+    for (text,) in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").dropna().toLocalIterator():
+        spans, base = set(pii.find(text)), brute(text)
+        planted = base + [("secret", *m.span()) for m in plain["secret"].finditer(text)]
+        for span in planted:
+            wanted[span[0]] += 1
+            got[span[0]] += span in spans
+        with_secret += any(s[0] == "secret" for s in spans)
+    assert all(n > 0 for n in wanted.values()) and all(got[k] >= 0.9 * wanted[k] for k in wanted)
+    assert with_secret <= wanted["secret"]  # clean documents get none
+
+
 def test_report_and_edge_cases(spark, frame):
     table = [*EDGE, (20, "jo@x.org 10.0.0.1 +49 170 1234567 4111 1111 1111 1111 ü a@b.c")]
     out = sorted(pii.report(frame(table)).collect(), key=repr)
