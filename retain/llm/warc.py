@@ -2,15 +2,19 @@
 
 Each record is one gzip member. The reader deals byte ranges of the archives to tasks. A task
 searches its range for the gzip magic, accepts a candidate member only if it decodes to a WARC
-header, and owns every record that starts inside its range, reading past the end to finish it.
+header, read as far as its blank line, and owns every record that starts inside its range, reading
+past the end to finish it. Archives that others wrote are read too: any record type, any record id;
+field names in any case. A response's payload is its HTTP body as stored, a revisit has none, any
+other record's payload is its whole block.
 
 Writing tasks put files of their own in a shared folder and return them as rows; only files that
 a finished task returned are read, so a repeated task leaves nothing that counts twice. Files
 are reached through `pyarrow.fs`, so the folder may be any store that it knows.
 
 Defined cases: null html is an empty payload; null and odd urls are written percent-encoded; a
-null page_id is written as an empty id and read back as null; rows that share the smallest
-page_id of a group are all responses; an empty table gives no archive and no rows; other
+null page_id is written as an empty id and read back as null, and revisits the group's smallest
+page_id if there is one; rows that share that page_id are all responses; a record of another
+writer has no page_id, and null for each field that it lacks; an empty table gives no archive and no rows; other
 columns are ignored.
 """
 
@@ -34,10 +38,15 @@ FILE_BYTES = 1 << 30
 CHUNK = 1 << 20
 LOOK = 1 << 16  # bytes that must follow a candidate, or the end of the file, before it is judged
 MAGIC = b"\x1f\x8b\x08"
+WARC = b"WARC/1."
+PAGE = "<urn:page:"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-RECORD = "page_id long, url string, record_type string, refers_to long, digest string, length long, payload binary"
+RECORD = (
+    "page_id long, url string, record_type string, refers_to long, digest string, length long, payload binary, "
+    "record_id string, refers_to_id string"
+)
 
 
 # Writing --------------------------------------------------------------------------------
@@ -55,7 +64,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     )
     found = attach(keyed, groups, "digest", "copies", F.xxhash64("page_id", "url"))
     return found.select(
-        "page_id", "url", "html", "digest", "length", F.when(F.col("page_id") != F.col("first"), F.col("first")).alias("refers_to")
+        "page_id", "url", "html", "digest", "length", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to")
     )
 
 
@@ -155,12 +164,23 @@ class Window:
         return None
 
     def is_record(self, at: int) -> bool:
-        self.fill(at + LOOK)
-        try:
-            head = zlib.decompressobj(31).decompress(self.data[at - self.start : at - self.start + LOOK], 4096)
-        except zlib.error:
-            return False
-        return head.startswith(b"WARC/1.") and b"\r\nWARC-Type:" in head
+        """Whether a member at `at` decodes to a WARC header, which may be of any length."""
+        unpacker, head, pos, rest = zlib.decompressobj(31), b"", at, b""
+        while b"\r\n\r\n" not in head and not unpacker.eof:
+            if not rest:
+                self.fill(pos + LOOK)
+                rest = self.data[pos - self.start : pos - self.start + LOOK]
+                pos += len(rest)
+                if not rest:
+                    return False
+            try:
+                head += unpacker.decompress(rest, 4096)
+            except zlib.error:
+                return False
+            rest = unpacker.unconsumed_tail
+            if head[: len(WARC)] != WARC[: len(head)]:
+                return False
+        return head.startswith(WARC) and b"\r\nwarc-type:" in head.partition(b"\r\n\r\n")[0].lower()
 
     def member(self, at: int) -> tuple[bytes, int]:
         """The decoded member at `at` and the position behind it; its checksum is verified."""
@@ -176,17 +196,38 @@ class Window:
         return b"".join(parts), pos
 
 
+def header_fields(head: bytes) -> dict[str, str]:
+    """The fields of a header block by their names in lower case; the first of a repeated name counts."""
+    found: dict[str, str] = {}
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        name, _, value = line.partition(":")
+        found.setdefault(name.strip().lower(), value.strip())
+    return found
+
+
+def page_of(record_id: str | None) -> int | None:
+    """The page_id in a record id of this writer."""
+    number = (record_id or "").removeprefix(PAGE).removesuffix(">")
+    return int(number) if (record_id or "").startswith(PAGE) and number.lstrip("-").isdecimal() else None
+
+
 def parse(member: bytes) -> dict:
     head, _, rest = member.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    ident = lambda k: int(x) if (x := fields.get(k, "")[len("<urn:page:") : -1]) else None
-    block = rest[: int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = int(http.rpartition(b"Content-Length: ")[2])
+    fields = header_fields(head)
+    size, kind = fields.get("content-length", ""), fields["warc-type"]
+    payload = rest[: int(size)] if size.isdecimal() else rest.removesuffix(b"\r\n\r\n")
+    length = None
+    if kind in ("response", "revisit") and payload.startswith(b"HTTP/"):
+        http, _, payload = payload.partition(b"\r\n\r\n")
+        stated = header_fields(http).get("content-length", "")
+        length = int(stated) if stated.isdecimal() else None
+    payload = None if kind == "revisit" else payload
     return {
-        "page_id": ident("WARC-Record-ID"), "url": fields.get("WARC-Target-URI"), "record_type": fields["WARC-Type"],
-        "refers_to": ident("WARC-Refers-To"), "digest": fields["WARC-Payload-Digest"].partition(":")[2],
-        "length": length, "payload": payload if fields["WARC-Type"] == "response" else None,
+        "page_id": page_of(fields.get("warc-record-id")), "url": fields.get("warc-target-uri"), "record_type": kind,
+        "refers_to": page_of(fields.get("warc-refers-to")),
+        "digest": digest.removeprefix("sha256:") if (digest := fields.get("warc-payload-digest")) else None,
+        "length": length if payload is None else len(payload), "payload": payload,
+        "record_id": fields.get("warc-record-id"), "refers_to_id": fields.get("warc-refers-to"),
     }
 
 
@@ -204,7 +245,8 @@ def records_of(source, start: int, stop: int) -> Iterator[dict]:
 def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The records that start in the byte ranges (file, start, stop)."""
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
-                        ("digest", pa.string()), ("length", pa.int64()), ("payload", pa.binary())])
+                        ("digest", pa.string()), ("length", pa.int64()), ("payload", pa.binary()), ("record_id", pa.string()),
+                        ("refers_to_id", pa.string())])
     for batch in batches:
         for row in batch.to_pylist():
             store, path = fs.FileSystem.from_uri(row["file"])
@@ -229,8 +271,8 @@ def read(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES)
 
 
 def report(records: DataFrame) -> DataFrame:
-    """The contract's row per record. Responses are measured, revisits carry what they refer to."""
-    measured = F.col("record_type") == "response"
+    """The contract's row per record. Payloads are measured, revisits carry what they refer to."""
+    measured = F.col("payload").isNotNull()
     return records.select(
         "page_id",
         F.when(measured, F.octet_length("payload").cast("long")).otherwise(F.col("length")).alias("payload_bytes"),

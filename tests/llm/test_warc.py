@@ -76,6 +76,40 @@ def test_round_trip_with_a_file_scheme(spark, tmp_path):
     assert sorted(r["length"] for r in warc.read(spark, files).collect()) == list(range(20))
 
 
+def test_archives_of_others(spark, tmp_path):
+    def record(kind, block, *more):
+        head = ["WARC/1.0", f"warc-type: {kind}", f"Content-Length: {len(block)}", *more]
+        return warc.gzip_member("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    draw = random.Random(5)
+    uri = "http://h/" + "".join(draw.choice("0123456789abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    reply = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nbody"
+    members = [
+        record("warcinfo", b"software: x\r\n", "WARC-Record-ID: <urn:uuid:1>"),
+        record("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Record-ID:<urn:uuid:2>"),
+        warc.gzip_member(b"WARC/1.1\r\nWARC-Target-URI: " + uri.encode() + b"\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % len(reply) + reply + b"\r\n\r\n"),
+        record("revisit", b"", "WARC-Refers-To: <urn:uuid:3>", "WARC-Payload-Digest: sha1:ABC"),
+        record("metadata", b"", "WARC-Record-ID: <urn:page:x>"),
+    ]
+    path = tmp_path / "other.warc.gz"
+    path.write_bytes(b"".join(members))
+    files = spark.createDataFrame([(str(path), path.stat().st_size)], "file string, bytes long")
+    out = warc.read(spark, files, split_bytes=50).orderBy("record_type").collect()
+    assert [(r["record_type"], r["page_id"], r["record_id"], r["refers_to_id"], r["digest"], r["length"]) for r in out] == [
+        ("metadata", None, "<urn:page:x>", None, None, 0), ("request", None, "<urn:uuid:2>", None, None, 18),
+        ("response", None, None, None, None, 4), ("revisit", None, None, "<urn:uuid:3>", "sha1:ABC", None),
+        ("warcinfo", None, "<urn:uuid:1>", None, None, 13),
+    ]
+    assert out[2]["url"] == uri and bytes(out[2]["payload"]) == b"body" and warc.report(warc.read(spark, files)).count() == 5
+
+
+def test_pages_without_an_id_revisit_one_that_has_one(spark):
+    table = [(5, "u", "same " * 50), (None, "u", "same " * 50), (None, "v", "other " * 50), (None, "w", "other " * 50)]
+    files = warc.write(pages(spark, table), shared_path(spark, "warc-test"))
+    out = sorted(((r["record_type"], r["page_id"], r["refers_to"]) for r in warc.read(spark, files).collect()), key=repr)
+    assert out == sorted([("response", 5, None), ("revisit", None, 5), ("response", None, None), ("response", None, None)], key=repr)
+
+
 def test_empty_table(spark):
     files = warc.write(pages(spark, []), shared_path(spark, "warc-test"))
     assert warc.report(warc.read(spark, files)).count() == 0
