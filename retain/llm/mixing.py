@@ -7,7 +7,9 @@ offset, and is emitted once per integer in it. Because sizes ascend along the li
 taken miss the target by about one large document, not by a random sum.
 
 Line positions come from counts per cell (source, size class, hash class), so no window holds
-a whole source. Defined cases: a null text has size 0; null sources form one source, last in
+a whole source. A cell with more than 1/1000 of all rows (an id that repeats without end, or no
+id) is cut further, by id and by a hash of the whole row. Rows that agree in source, size and id
+stand in the order of that hash. Defined cases: a null text has size 0; null sources form one source, last in
 order; sources of size 0 have target 0; rows that repeat an id are separate rows; an empty
 table gives an empty result; any other column passes through, clashing names included.
 """
@@ -19,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retain.llm.common import WORD, cell_offsets, fresh, materialize, unit_hash
+from retain.llm.common import HOT_SHARE, SALTS, WORD, cell_offsets, fresh, materialize, unit_hash
 
 SUB_CELLS = 1024
 
@@ -34,6 +36,12 @@ def size_class(size: Column) -> Column:
     return F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(bits, 1, 4))
 
 
+def content_hash(docs: DataFrame) -> Column:
+    """A hash of a row's columns, but for maps, which have no hash."""
+    names = [f.name for f in docs.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    return F.xxhash64(*[F.col(f"`{n}`") for n in names])
+
+
 def targets(sources: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
     """`sources` (source, source_size) plus `target`: shares by weight, filled up to the cap.
 
@@ -63,7 +71,7 @@ def mix(
     row = F.struct("*")
     line = F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string")).cast("binary"))
     keyed = docs.select(
-        row.alias("row"), F.col("source"), F.col("doc_id"), size.alias("size"), line.alias("line"),
+        row.alias("row"), F.col("source"), F.col("doc_id"), size.alias("size"), line.alias("line"), content_hash(docs).alias("tie"),
     ).withColumns({
         "key": F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source"))),
         "class": size_class(F.col("size")),
@@ -79,14 +87,27 @@ def mix(
         "key", F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source")))
     ).drop("source")
     offsets = cell_offsets(cells.select(*cell, "n"), ["key"], ["class"], "sub", "n", "before")
-    plan = materialize(offsets.join(goal, "key").drop("n"), "plan")
-
-    place = F.col("before") + F.row_number().over(Window.partitionBy(*cell).orderBy("line", "doc_id", "size"))
+    total = cells.agg(F.sum("n").alias("rows"))
+    hot = cells.filter(F.col("n") * F.lit(HOT_SHARE) > total.scalar()).select(*cell, F.lit(True).alias("hot"))
+    keyed = keyed.join(F.broadcast(hot), cell, "left").withColumns({  # fewer than 1000 rows, whatever the data
+        "stretch": F.when(F.col("hot"), F.col("line")).otherwise(F.lit("")),
+        "part": F.when(F.col("hot"), F.pmod("tie", F.lit(SALTS)).cast("int")).otherwise(F.lit(0)),
+    })
+    parts = keyed.filter("hot").groupBy(*cell, "stretch", "part").agg(F.count(F.lit(1)).alias("m"))
+    inside = cell_offsets(parts, cell, ["stretch"], "part", "m", "inside").drop("m")
+    whole = offsets.join(goal, "key").drop("n").join(inside, cell, "left")
+    plan = materialize(whole.withColumns({
+        "stretch": F.coalesce("stretch", F.lit("")), "part": F.coalesce("part", F.lit(0)),
+        "before": F.col("before") + F.coalesce("inside", F.lit(0)),
+    }).drop("inside"), "plan")
+
+    cut = [*cell, "stretch", "part"]
+    place = F.col("before") + F.row_number().over(Window.partitionBy(*cut).orderBy("line", "doc_id", "size", "tie"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = unit_hash(F.lit(seed), F.col("key"))
     copies = F.floor(F.col("place") * F.col("rate") + F.col("offset")) - F.floor((F.col("place") - 1) * F.col("rate") + F.col("offset"))
     ranked = (
-        keyed.drop("source").join(plan, cell).withColumns({"place": place, "rate": rate, "offset": offset})
+        keyed.drop("source", "hot").join(plan, cut).withColumns({"place": place, "rate": rate, "offset": offset})
         .withColumn("copies", copies.cast("long"))
     )
     out = F.struct("size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))

@@ -37,7 +37,9 @@ def op2_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("text_hash")
+    )
     mixed = mixing.mix(docs, F.col("words"))
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.copies")
 
@@ -139,8 +141,8 @@ WITH p AS (
   SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
 )
 SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest,
-       CASE WHEN strlen(body) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN strlen(body) >= 100 AND page_id <> first THEN first END AS refers_to
+       CASE WHEN strlen(body) >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(body) >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM p
 """
 

@@ -39,5 +39,19 @@ def test_emitted_rows_are_copies(spark, frame):
     assert sorted(map(repr, out.collect())) == sorted(map(repr, again.collect()))
 
 
+def test_rows_without_ids_are_spread(spark, frame):
+    """Half of the rows have no id; each is placed once, and a rerun over other partitions agrees."""
+    table = [(i if i % 2 else None, "a b c" if i % 3 else f"d e {i}", "en", "s") for i in range(6000)]
+    docs = frame(table)
+    mixed = mixing.mix(docs, mixing.word_count(F.col("text")))
+    plan = mixed.columns[-1]
+    assert mixed.count() == 6000
+    words = mixed.agg(F.sum(f"{plan}.taken"), F.max(f"{plan}.target")).first()
+    assert abs(words[0] - words[1]) <= 6
+    again = mixing.mix(docs.repartition(13), mixing.word_count(F.col("text")))
+    chosen = lambda m: sorted(map(repr, m.select("doc_id", "text", f"{m.columns[-1]}.copies").collect()))
+    assert chosen(mixed) == chosen(again)
+
+
 def test_empty_table(spark, frame):
     assert mixing.mix(frame([]), mixing.word_count(F.col("text"))).count() == 0
