@@ -46,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if path:
         return path
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="retain-"))
     return sc.getCheckpointDir()
