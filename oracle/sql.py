@@ -407,6 +407,15 @@ check("scan_counts", union([
     f"SELECT '{n}' AS table_name, count(*) AS rows, CAST({f'count({_dated[n]})' if n in _dated else 0} AS BIGINT) AS dated, {money(c)} AS total FROM fx_{n}"
     for n, c in _summed.items()
 ]))
+_damaged = [
+    ("order_date", "count(*) FILTER (WHERE order_id % 41 = 0 OR order_id % 43 = 0 OR order_id % 47 <> 0)",
+     "count(*) FILTER (WHERE order_id % 41 = 0 OR order_id % 43 = 0)"),
+    ("total_amount", "count(*) FILTER (WHERE order_id % 31 = 0 OR total_amount IS NOT NULL)", "count(*) FILTER (WHERE order_id % 31 = 0)"),
+]
+check("landed_columns", union([
+    f"SELECT 'orders' AS table_name, '{c}' AS column_name, CAST({p} AS BIGINT) AS present, CAST({u} AS BIGINT) AS unreadable FROM fx_orders"
+    for c, p, u in _damaged
+]))
 check("null_tokens", """
 SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 7 > 3 THEN c_mktsegment END AS customer_segment FROM customer""")
 check("parse_dates", """
@@ -474,6 +483,7 @@ check("cleaning_summary", union([
     f"SELECT '{n.capitalize()}' AS table_name, b AS rows_before, a AS rows_after, b - a AS rows_removed FROM (SELECT count(*) AS b FROM raw_{n}), (SELECT count(*) AS a FROM d_{n})"
     for n in DTYPES
 ]))
+ORACLE["landed_summary"] = ORACLE["cleaning_summary"]
 check("dedupe_rows", "SELECT DISTINCT * REPLACE (CAST(payment_date AS VARCHAR) AS payment_date) FROM (SELECT * EXCLUDE (ingest_ord) FROM raw_payments)")
 check("dedupe_keep_first", as_text(
     one_per_key("fx_lines", ["order_id", "line_no"], [c for c in COLUMNS["lines"] if c not in ("order_id", "line_no")]), "order_date"))
@@ -507,6 +517,7 @@ check("churn_flag", "SELECT customer_id, recency_days, churned FROM valued")
 check("review_features", "SELECT * FROM rev_feat")
 check("category_channel_features", "SELECT customer_id, favourite_category, preferred_channel FROM pref")
 check("customer_features", as_text("feat", "registration_date", "last_order_date", "first_order_date"))
+ORACLE["stored_features"] = ORACLE["customer_features"]
 check("feature_export", as_text("feat", "registration_date", "last_order_date", "first_order_date"))
 check("feature_sample", "SELECT customer_id, recency_days, frequency, monetary, avg_order_value, clv, churned FROM feat ORDER BY customer_id LIMIT 10")
 check("feature_summary", f"""
@@ -557,6 +568,9 @@ FROM (SELECT CAST(kmeans_cluster AS INT) AS kmeans_cluster, count(*) AS customer
 # Revenue and retention ------------------------------------------------------------------
 
 check("monthly_revenue", f"SELECT strftime(m, '%Y-%m') AS month, {even('revenue', 2)} AS revenue FROM by_month")
+check("stored_period_revenue", f"""
+SELECT strftime(order_date, '%Y-%m') AS month, {even(money("total_amount"), 2)} AS revenue
+FROM done WHERE order_date BETWEEN DATE '1996-01-15' AND DATE '1997-03-10' GROUP BY 1""")
 _summary = f"""
 SELECT strftime(order_date, '%Y-%m') AS month, {even(money("total_amount"), 2)} AS revenue, CAST(count(order_id) AS BIGINT) AS orders,
        count(DISTINCT customer_id) AS customers, {even(money("total_amount") + " / count(order_id)", 2)} AS avg_order_value

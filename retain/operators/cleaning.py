@@ -14,8 +14,9 @@ from retain.config import DEFAULT, Config
 from retain.functions.numeric import clip
 from retain.functions.quantiles import exact_quantiles
 from retain.functions.rows import with_row
-from retain.session import materialize
+from retain.session import materialize, shared_path
 from retain.sources.bundle import INGEST_ORDER, Bundle
+from retain.sources.landing import write_counted
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
@@ -215,3 +216,21 @@ def cleaning_summary(raw: Bundle, cleaned: Bundle) -> DataFrame:
         .join(F.broadcast(counts(cleaned, "rows_after")), "table_name")
         .withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
     )
+
+
+def store_cleaned(raw: Bundle, cleaned: Bundle, rows_before: dict[str, int] | None = None) -> tuple[Bundle, DataFrame]:
+    """Write the cleaned tables, and their `cleaning_summary` from what the writes counted.
+
+    `rows_before` are rows per raw table as counted when these were landed; without them the raw
+    tables are counted. The summary has five rows.
+    """
+    spark, stored, sizes = raw.orders.sparkSession, {}, []
+    for name, df in cleaned.items():
+        before = getattr(raw, name).count() if rows_before is None else rows_before[name]
+        path = shared_path(spark, f"clean-{name}")
+        after = write_counted(df, path, F.count(F.lit(1)).alias("rows"))["rows"]
+        stored[name] = spark.read.schema(df.schema).parquet(path)
+        sizes.append((name.capitalize(), before, after, before - after))
+    if cleaned.order_lines is not None:
+        stored["order_lines"] = materialize(cleaned.order_lines, "clean-order_lines")
+    return Bundle(**stored), spark.createDataFrame(sizes, "table_name string, rows_before long, rows_after long, rows_removed long")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from retain.functions.numeric import MONEY_TYPE, round_half_even
 from retain.operators import churn, cleaning, evaluation, features, kmeans, kpis, migration
 from retain.operators import profiling, retention, revenue, segmentation, star, statistics
 from retain.session import materialize, shared_path
-from retain.sources import inference, retail_star
+from retain.sources import customer_store, inference, landing, retail_star
 from retain.sources.bundle import (
     INGEST_ORDER, Bundle, load_all, nullify_tokens, parse_date, write_table,
 )
@@ -160,12 +161,7 @@ def stand_in_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_counts(spark, sf_dir):
     """The five tables written as CSV, scanned back with types and counted."""
-    folder = shared_path(spark, "csv")
-    for name, df in retail_star.bundle(spark, sf_dir).items():
-        # The star lacks some columns of the canonical tables; CSV gets them as empty.
-        absent = [F.lit(None).cast(t).alias(c) for c, t in SCHEMAS[name].items() if c not in df.columns]
-        write_table(df.select("*", *absent), f"{folder}/{name}.csv", "csv")
-    bundle = load_all(spark, folder)
+    bundle = load_all(spark, star_as_csv(spark, sf_dir, retail_star.bundle(spark, sf_dir)))
     dates = {"customers": "registration_date", "orders": "order_date", "payments": "payment_date", "reviews": "review_date"}
     amounts = {"customers": "age", "orders": "total_amount", "products": "price", "payments": "amount", "reviews": "rating"}
     return reduce(
@@ -230,6 +226,39 @@ def amount_box_by_customer(spark, sf_dir):
     return rounded(statistics.box_plot(orders(spark, sf_dir), "customer_id", "total_amount"))
 
 
+def star_as_csv(spark: SparkSession, sf_dir: str, bundle: Bundle) -> str:
+    """The five tables as CSV; columns of the schemas that the star lacks are empty."""
+    folder = shared_path(spark, "csv")
+    for name, df in bundle.items():
+        absent = [F.lit(None).cast(t).alias(c) for c, t in SCHEMAS[name].items() if c not in df.columns]
+        write_table(df.select("*", *absent), f"{folder}/{name}.csv", "csv")
+    return folder
+
+
+@query
+def landed_summary(spark, sf_dir):
+    """CSV landed as Parquet, cleaned and stored; rows before and after as the writes counted them."""
+    raw = raw_bundle(spark, sf_dir)
+    # Orders need a product to stay; the star has theirs in the lines.
+    raw = replace(raw, orders=raw.orders.withColumn("product_id", F.lit("several")))
+    landed = landing.land_all(spark, star_as_csv(spark, sf_dir, raw))
+    return cleaning.store_cleaned(landed.bundle, cleaning.clean_all(landed.bundle), landed.rows)[1]
+
+
+@query
+def landed_columns(spark, sf_dir):
+    """Values present and unreadable per typed column, in orders with damaged dates and amounts."""
+    key = F.col("order_id")
+    day = F.when(key % 41 == 0, "not a date").when(key % 43 == 0, "2001-02-30").when(key % 47 == 0, "N/A")
+    amount = F.when(key % 31 == 0, "12,5").otherwise(F.col("total_amount").cast("string"))
+    damaged = retail_star.orders(spark, sf_dir).withColumns(
+        {"order_date": day.otherwise(F.date_format("order_date", "yyyy-MM-dd")), "total_amount": amount}
+    )
+    folder = star_as_csv(spark, sf_dir, replace(retail_star.bundle(spark, sf_dir), orders=damaged))
+    counts = landing.land_all(spark, folder).columns
+    return counts.filter((F.col("present") > 0) & (F.col("table_name") == "orders"))
+
+
 @query
 def table_summary(spark, sf_dir):
     return profiling.table_summary(raw_bundle(spark, sf_dir))
@@ -438,6 +467,31 @@ def customer_features(spark, sf_dir):
     return feature_table(spark, sf_dir)
 
 
+def stored_by_customer(
+    spark: SparkSession, sf_dir: str, tables: Sequence[str] = tuple(customer_store.DATED)
+) -> customer_store.CustomerStore:
+    clean = Bundle(
+        customers=customers(spark, sf_dir), orders=orders(spark, sf_dir), products=products(spark, sf_dir),
+        payments=payments(spark, sf_dir), reviews=reviews(spark, sf_dir), order_lines=lines(spark, sf_dir),
+    )
+    return customer_store.store_by_customer(clean, count_in=retail_star.bundle(spark, sf_dir), tables=tables)
+
+
+@query
+def stored_features(spark, sf_dir):
+    """The feature table from cleaned tables stored by customer: joins without a shuffle."""
+    return stored_by_customer(spark, sf_dir).per_customer(
+        lambda b: features.build_customer_features(b.customers, b.orders, b.products, b.reviews, b.order_lines, CONFIG)
+    )
+
+
+@query
+def stored_period_revenue(spark, sf_dir):
+    """Monthly revenue of a period that cuts months, from cleaned orders stored by month."""
+    period = stored_by_customer(spark, sf_dir, ["orders"]).between("orders", dt.date(1996, 1, 15), dt.date(1997, 3, 10))
+    return revenue.monthly_revenue(period, CONFIG)
+
+
 @query
 def feature_summary(spark, sf_dir):
     return features.feature_summary(values(spark, sf_dir))
