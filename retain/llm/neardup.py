@@ -8,7 +8,8 @@ candidates. A pair's similarity is then estimated from
 all registers by maximum likelihood, given both set sizes, and pairs that are not clearly below
 the threshold are verified on their full sets.
 
-Documents with the same word sequence are one class from the start. Within a bucket no pairs
+Documents with the same word sequence are one class from the start (by a 128-bit digest of its
+bytes). Sets are compared by hashes first; a link also needs the words themselves (`alike`). Within a bucket no pairs
 are listed: members are tested against one pivot, links are contracted to components, and a
 bucket stays open only while it holds different components. After three pivots, what is still
 open is tested in blocks: all pairs of a bucket's members with those outside its largest
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retain.llm.common import attach, materialize
-from retain.llm.words import SPACED, Words, mixed, seeds, word_runs
+from retain.llm.words import SPACED, Words, mixed, seeds, text_bytes, word_runs
 
 SHINGLE, PERCENT = 5, 80  # words of a shingle, least similarity
 REGISTERS = 180
@@ -156,8 +157,11 @@ def sketch(text: Column, size: int) -> Column:
 
 
 def digests_of(words: Words) -> list[bytes]:
-    bounds = words.first.tolist()
-    return [hashlib.blake2b(words.hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds, bounds[1:])]
+    """128-bit digests of the texts' lower-cased words, a space after each."""
+    letters, offsets = words.letters()
+    joined = np.insert(letters, offsets[1:], 0x20)
+    bounds = (offsets[words.first] + words.first).tolist()
+    return [hashlib.blake2b(joined[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds, bounds[1:])]
 
 
 def band_keys(registers: Column, rows: int) -> Column:
@@ -182,8 +186,29 @@ def plausible(percent: int) -> Column:
     return test
 
 
+def alike(left: pa.Array, right: pa.Array, percent: int, size: int) -> bool:
+    """Whether two texts, each an array of one, reach the threshold on their full sets of shingles.
+
+    Words are told apart by their bytes and shingles by their words; no hash decides.
+    """
+    words = Words(*text_bytes(pa.concat_arrays([left, right])), SPACED)
+    letters, offsets = words.letters()
+    held = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    word = held.dictionary_encode().indices.to_numpy().astype(np.int64)
+    a, b = words.counts.tolist()
+    if min(a, b) < size:  # a short text is one shingle
+        return a == b > 0 and bool((word[:a] == word[a:]).all())
+    last, n = len(word) - size + 1, int(word.max()) + 1
+    shingle = word[:last]
+    for k in range(1, size):
+        shingle = np.unique(shingle * n + word[k : k + last], return_inverse=True)[1]
+    x, y = np.unique(shingle[: a - size + 1]), np.unique(shingle[a:])
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def similar(percent: int, size: int):
-    """Whether two texts' full sets reach the threshold."""
+    """Whether two texts' full sets reach the threshold: by hashes, and if so by their words."""
 
     @F.arrow_udf("boolean")
     def test(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -196,9 +221,10 @@ def similar(percent: int, size: int):
                         elements, offsets = shingle_sets(words, size)
                         sets += np.split(elements, offsets[1:-1])
                 half = len(sets) // 2
-                for x, y in zip(sets[:half], sets[half:]):
+                for i, (x, y) in enumerate(zip(sets[:half], sets[half:]), at):
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                    out.append(bool(both) and 100 * both >= percent * (len(x) + len(y) - both))
+                    near = bool(both) and 100 * both >= percent * (len(x) + len(y) - both)
+                    out.append(near and alike(left.slice(i, 1), right.slice(i, 1), percent, size))
             yield pa.array(out, pa.bool_())
 
     return test
@@ -233,8 +259,8 @@ def linked_rows(percent: int, size: int):
     def test(block: pa.Table) -> pa.Table:
         few = np.array(block.column("few").to_pylist(), bool)
         cls, comp = block.column("cls").to_numpy(), block.column("comp").to_numpy()
-        sets = []
-        for words in word_runs(block.column("text").combine_chunks(), SPACED):
+        sets, texts = [], block.column("text").combine_chunks()
+        for words in word_runs(texts, SPACED):
             elements, offsets = shingle_sets(words, size)
             sets += np.split(elements, offsets[1:-1])
         links, root = [], {}
@@ -252,7 +278,7 @@ def linked_rows(percent: int, size: int):
             similar = (both > 0) & (100 * both.astype(np.float64) >= percent * either) & (comp[x][:, None] != comp[y][None, :])
             for i, j in zip(*np.nonzero(similar)):
                 a, b = top(int(comp[x[i]])), top(int(comp[y[j]]))
-                if a != b:
+                if a != b and alike(texts.slice(x[i], 1), texts.slice(y[j], 1), percent, size):
                     root[a] = b
                     links.append((int(cls[x[i]]), int(cls[y[j]])))
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})

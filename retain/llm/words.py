@@ -7,6 +7,7 @@ longest text and not the batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +118,7 @@ class Words:
     the index of each text's first word (`first` has one more entry than there are texts)."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: np.ndarray):
-        self.data = data
+        self.data, self.kind = data, kind
         n = len(data)
         word = kind[data]
         start, end = word.copy(), word.copy()
@@ -129,9 +130,16 @@ class Words:
             end[at - 1] = word[at - 1]
         self.starts, self.ends = np.flatnonzero(start), np.flatnonzero(end) + 1
         self.first = np.searchsorted(self.starts, offsets)
-        self.hashes = span_hashes(data, self.starts, self.ends)
         self.counts = np.diff(self.first)
 
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return span_hashes(self.data, self.starts, self.ends)
+
+    def letters(self) -> tuple[np.ndarray, np.ndarray]:
+        """The lower-cased bytes of all words, one after the other, and the n + 1 offsets between them."""
+        return LOWER[self.data[self.kind[self.data]]], np.concatenate([[0], np.cumsum(self.ends - self.starts)]).astype(np.int64)
+
     def bytes_of(self, i: int) -> bytes:
         return LOWER[self.data[self.starts[i] : self.ends[i]]].tobytes()
 

@@ -133,3 +133,40 @@ def test_long_words_that_differ_by_powers_of_two_are_different(spark, frame):
         docs = [(1, f"{word} x y z"), (2, f"{other} x y z"), (3, f"{word.upper()}  x y z")]
         found = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(docs), percent=85, size=3).collect()}
         assert found == {1: 1, 2: 2, 3: 1}
+
+
+def test_digests_follow_the_words_alone():
+    texts = ["Ab  c", " ab c\t", "ab c d", "abc", "", None, "a bc", "é É"]
+    (words,) = word_runs(pa.array(texts), SPACED)
+    made = neardup.digests_of(words)
+    assert made[0] == made[1] and made[4] == made[5] and len(set(made)) == 6
+
+
+def test_alike_equals_brute_force():
+    draw = random.Random(8)
+    texts = [None, "", "  ", "a", "A", "a b", "b a", "a b c", "a a a a a", "a a a a", "é x é x y"]
+    for n in (3, 4, 6, 30, 200):
+        base = [f"w{draw.randint(0, n)}" for _ in range(n)]
+        for changes in (0, 1, 1, 2, 5):
+            other = list(base)
+            for _ in range(changes):
+                other[draw.randrange(n)] = draw.choice(["w1", "new", "W2"])
+            texts.append("  ".join(other))
+    column, found = pa.array(texts), 0
+    for size, percent in ((3, 85), (5, 80), (1, 50)):
+        for i, left in enumerate(texts):
+            for j, right in enumerate(texts):
+                x, y = shingles(left, size), shingles(right, size)
+                want = bool(x & y) and 100 * len(x & y) >= percent * len(x | y)
+                assert neardup.alike(column.slice(i, 1), column.slice(j, 1), percent, size) == want, (left, right, size)
+                found += want
+    assert found > 50
+
+
+def test_equal_hashes_of_different_words_link_nothing(monkeypatch):
+    """All hashes equal: only the words tell the texts apart."""
+    monkeypatch.setattr("retain.llm.words.span_hashes", lambda data, starts, ends: np.ones(len(starts), np.uint64))
+    texts = ["a b c d", "e f g h", "a b c d", "a b c d e f g"]
+    block = pa.table({"few": [True, True, False, False], "cls": [1, 2, 3, 4], "comp": [1, 2, 3, 4], "text": texts})
+    links = neardup.linked_rows(85, 3)(block).to_pylist()
+    assert links == [{"a": 1, "b": 3}]
