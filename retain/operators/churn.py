@@ -156,6 +156,9 @@ def train_churn_model(
         model = forest.fit(points)
     finally:
         points.unpersist()
+    # The summary of a fit holds the session, which need not serialize: it cannot once it has observed a write.
+    # A copy has no summary, and predicts the same.
+    model = model.copy()
     predictions = model.transform(assembler.transform(test)).select(
         "customer_id",
         F.col(TARGET).alias("label"),

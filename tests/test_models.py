@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from retain import Config
@@ -95,6 +96,14 @@ def test_forest_finds_recency(spark):
     assert confusion.agg(F.sum("customers")).first()[0] == fitted.test.count()
 
 
+def test_forest_predicts_in_a_session_that_observed(spark):
+    observed = Observation("rows")
+    spark.range(5).observe(observed, F.count(F.lit(1)).alias("n")).count()
+    assert observed.get["n"] == 5
+    fitted = churn.train_churn_model(customers(spark), Config(trees=3, tree_depth=3))
+    assert fitted.predictions.count() == len(fitted.predictions.collect()) == fitted.test.count()
+
+
 def test_a_null_id_keeps_its_cluster(spark):
     df = customers(spark, 40).withColumn("customer_id", F.when(F.col("customer_id") != 7, F.col("customer_id")))
     clustered, _, _ = kmeans.kmeans_segmentation(df, Config(kmeans_restarts=1))
