@@ -59,7 +59,8 @@ def star_fact(
     buyer = customers.select("customer_id", "customer_segment", "state", region.alias("region"))
     item = products.select("product_id", "product_name", "category")
     joined = facts
-    for dimension, key in ((buyer, "customer_id"), (item, "product_id"), (paid, "order_id")):
+    # The products last: their names are the longest texts, and each join may shuffle what the ones before it added.
+    for dimension, key in ((paid, "order_id"), (buyer, "customer_id"), (item, "product_id")):
         joined = join_dimension(joined, dimension, key, spread_by=ids, count_in=facts)
     return (
         joined.withColumns({"year": F.year("order_date"), "year_month": month_label(F.col("order_date"))})

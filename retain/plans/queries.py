@@ -68,16 +68,19 @@ def six_places(df: DataFrame) -> DataFrame:
 # Inputs ---------------------------------------------------------------------------------
 
 
+# Staged: one row per key is written once, and the passes for fences and medians read one column of it.
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_orders(retail_star.orders(spark, sf_dir), config=CONFIG)
+    return cleaning.clean_orders(retail_star.orders(spark, sf_dir), config=CONFIG, staged=True)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_orders(retail_star.order_lines(spark, sf_dir), LINE_KEY, CONFIG)
+    return cleaning.clean_orders(retail_star.order_lines(spark, sf_dir), LINE_KEY, CONFIG, staged=True)
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_customers(retail_star.customers(spark, sf_dir))
+def customers(spark: SparkSession, sf_dir: str, staged: bool = False) -> DataFrame:
+    return cleaning.clean_customers(retail_star.customers(spark, sf_dir), staged)
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +101,7 @@ def raw_bundle(spark: SparkSession, sf_dir: str) -> Bundle:
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.build_customer_features(
-        customers(spark, sf_dir),
+        customers(spark, sf_dir, staged=True),
         orders(spark, sf_dir),
         products(spark, sf_dir),
         reviews(spark, sf_dir),
@@ -141,10 +144,6 @@ def segmented(spark: SparkSession, sf_dir: str, clean: DataFrame | None = None)
     return segmentation.rfm_segmentation(value_table(spark, sf_dir, clean))
 
 
-def clean_orders_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(orders(spark, sf_dir), "orders")
-
-
 def stand_in_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores computed from the keys of all customers, so that metrics can be checked in SQL."""
     score = ((F.col("customer_id") * 7919 + F.col("recency_days") * 104729) % 1000) / 1000.0
@@ -471,10 +470,11 @@ def stored_by_customer(
     spark: SparkSession, sf_dir: str, tables: Sequence[str] = tuple(customer_store.DATED)
 ) -> customer_store.CustomerStore:
     clean = Bundle(
-        customers=customers(spark, sf_dir), orders=orders(spark, sf_dir), products=products(spark, sf_dir),
-        payments=payments(spark, sf_dir), reviews=reviews(spark, sf_dir), order_lines=lines(spark, sf_dir),
+        customers=customers(spark, sf_dir, staged=True), orders=orders(spark, sf_dir),
+        products=products(spark, sf_dir), payments=payments(spark, sf_dir), reviews=reviews(spark, sf_dir),
+        order_lines=lines(spark, sf_dir) if "order_lines" in tables else None,
     )
-    return customer_store.store_by_customer(clean, count_in=retail_star.bundle(spark, sf_dir), tables=tables)
+    return customer_store.store_by_customer(clean, tables=tables)
 
 
 @query
@@ -677,7 +677,7 @@ def revenue_by_channel(spark, sf_dir):
 
 @query
 def kpi_cards(spark, sf_dir):
-    clean = clean_orders_once(spark, sf_dir)
+    clean = orders(spark, sf_dir)
     return kpis.kpis(segmented(spark, sf_dir, clean), clean, reviews(spark, sf_dir))
 
 
@@ -686,16 +686,16 @@ QUERIES["kpis"] = QUERIES.pop("kpi_cards")
 
 @query
 def kpi_targets(spark, sf_dir):
-    clean = clean_orders_once(spark, sf_dir)
+    clean = orders(spark, sf_dir)
     return kpis.kpi_targets(segmented(spark, sf_dir, clean), clean, reviews(spark, sf_dir))
 
 
 @query
 def insights(spark, sf_dir):
-    clean = clean_orders_once(spark, sf_dir)
+    clean = orders(spark, sf_dir)
     return kpis.insights(
         segmented(spark, sf_dir, clean), clean, products(spark, sf_dir),
-        materialize(lines(spark, sf_dir), "lines"),
+        lines(spark, sf_dir),
     )
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retain.functions import clip, exact_quantiles, join_dimension, round_half_even
+from retain.functions.joins import heavy_keys
 from retain.functions.ranks import RankedValues
 from retain.functions.special import log_gamma, two_sided_p
 from retain.operators.statistics import box_plot
@@ -119,3 +120,30 @@ def test_ranked_values_of_many_and_of_large_groups(spark):
         assert "Broadcast" not in box_plot(df, "g", "x")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_heavy_keys_are_those_above_the_mark(spark):
+    rows = [(7,)] * 300 + [(None,)] * 150 + [(i,) for i in range(550)]
+    df = spark.createDataFrame(rows, "k int")
+    hot, nulls = heavy_keys(df, ["k"], 10)
+    assert [r.k for r in hot.collect()] == [7] and nulls
+    assert heavy_keys(df, ["k"], 5)[1] is False
+    assert heavy_keys(df, ["k"], 3) == (None, False)
+    assert heavy_keys(df.limit(0), ["k"], 10) == (None, False)
+    two = df.withColumn("j", F.lit("x"))
+    assert [tuple(r) for r in heavy_keys(two, ["k", "j"], 10)[0].collect()] == [(7, "x")]
+
+
+def test_join_without_hot_keys_is_shuffled_once_for_a_later_grouping(spark):
+    fact = spark.range(4000).selectExpr("id % 2000 AS k", "id AS line", "id % 3 AS v")
+    dim = spark.range(2000).selectExpr("id AS k", "CAST(id AS STRING) AS name")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_dimension(fact, dim, "k", spread_by=["line"])
+        grouped = joined.groupBy("k", "line").agg(F.max("name").alias("name"))
+        text = grouped._jdf.queryExecution().executedPlan().toString()
+        assert grouped.count() == 4000 and joined.filter("name IS NULL").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "_salt" not in text and text.count("Exchange hashpartitioning") == 2

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retain.operators import cleaning, features, profiling, retention, revenue, segmentation, star
+from retain.plans import queries
 from retain.sources import retail_star
 from retain.sources.bundle import INGEST_ORDER, read_parquet
 from retain.sources.schemas import REQUIRED
@@ -84,3 +85,22 @@ def test_a_profile_ships_no_text(spark):
     exchange = text[text.index("Exchange hashpartitioning"):].split("\n")[0]
     assert "place#" in exchange and "t#" not in exchange and "x#" not in exchange
     assert profiling._value_counts(df).dtypes == [("place", "int"), ("absent", "boolean"), ("h1", "bigint"), ("h2", "bigint"), ("n", "bigint")]
+
+
+def test_passes_over_lines_read_stored_rows(spark):
+    for df in (queries.lines(spark, SF_DIR), queries.orders(spark, SF_DIR)):
+        text = plan(df.groupBy("order_status").agg(F.sum("total_amount")))
+        assert "percentile_approx" in text and "min(struct" not in text and "Join" not in text.replace("BroadcastHashJoin", "")
+
+
+def test_star_counts_keys_in_stored_lines_and_adds_names_last(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        clean = [f(spark, SF_DIR) for f in (queries.lines, queries.customers, queries.products, queries.payments)]
+        text = plan(star.star_fact(*clean))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Only the last join, the topmost in the plan, has the products' names.
+    assert "product_name" in text and "product_name" not in text[text.index("Join [customer_id"):].split("product_id")[0]
+    assert len(re.findall(r"min\(struct\(customer_id", text)) == 0
