@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retain.functions.dates import month_label
+from retain.functions.joins import heavy_keys
 from retain.session import materialize, shared_path
 from retain.sources.bundle import INGEST_ORDER, Bundle
 
 KEY = "customer_id"
+BUCKET_BYTES = 64 << 20
 APART, MONTH = "is_apart", "stored_month"
 # Tables with a row per customer or more, and the date their months come from.
 DATED = {"customers": None, "orders": "order_date", "reviews": None, "order_lines": "order_date"}
@@ -50,12 +52,17 @@ class CustomerStore:
 
 def large_customers(tables: Sequence[DataFrame], buckets: int) -> DataFrame:
     """Customers with more rows in some table than an average bucket: fewer than `buckets` a table."""
-    found = []
-    for df in tables:
-        counts = df.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
-        total = counts.agg(F.sum("_n").alias("_total"))
-        found.append(counts.filter(F.col("_n") * F.lit(buckets) > total.scalar()).select(KEY))
-    return reduce(DataFrame.union, found).dropna().distinct()
+    found = [heavy_keys(df.select(KEY), [KEY], buckets)[0] for df in tables]
+    return reduce(DataFrame.union, [df for df in found if df is not None], tables[0].select(KEY).limit(0)).distinct()
+
+
+def bucket_number(tables: Sequence[DataFrame]) -> int:
+    """Buckets of `BUCKET_BYTES` of the largest table as estimated, a task at least for each core, and no
+    more than the session's shuffle partitions. Each bucket is a file a month, whatever it holds."""
+    spark = tables[0].sparkSession
+    size = max(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in tables)
+    wanted = max(-(-size // BUCKET_BYTES), spark.sparkContext.defaultParallelism)
+    return int(min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def store_by_customer(
@@ -63,16 +70,16 @@ def store_by_customer(
 ) -> CustomerStore:
     """Write the named cleaned tables by customer and return them as read back, the others as they are.
 
-    `buckets` should leave a bucket of the largest table at a few hundred MB; the session's number of
-    shuffle partitions by default. `count_in` are tables to look for large customers in, such as the
+    `buckets` should leave a bucket of the largest table at some 100 MB; by default they are as many as
+    `bucket_number` says. `count_in` are tables to look for large customers in, such as the
     raw ones, whose keys cost no cleaning; they may name customers that cleaning drops. The tables
     are entered in the session's catalog under new names, with their files in the shared folder.
     """
     spark = clean.orders.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = count_in or clean
     kept = {name: getattr(clean, name) for name in tables if getattr(clean, name) is not None}
     sources = [getattr(counted, name) for name in kept if getattr(counted, name) is not None]
+    buckets = buckets or bucket_number(list(kept.values()))
     # Fewer than `buckets` keys a table, so the list can be broadcast.
     large = materialize(large_customers(sources, buckets), "large")
     usual, apart, paths = {}, {}, {}

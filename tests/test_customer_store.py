@@ -2,13 +2,15 @@
 
 import datetime as dt
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from retain.operators import features, revenue
+from retain.session import materialize
 from retain.sources.bundle import Bundle
-from retain.sources.customer_store import large_customers, store_by_customer
+from retain.sources.customer_store import bucket_number, large_customers, store_by_customer
 
 START = dt.date(2023, 1, 1)
 
@@ -86,3 +88,18 @@ def test_empty_tables(spark):
     stored = store_by_customer(empty, buckets=3)
     assert stored.per_customer(build).collect() == []
     assert stored.between("orders", START, START).collect() == []
+
+
+def test_buckets_follow_the_size_and_not_the_shuffle(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        plain = replace(tables(spark), orders=materialize(tables(spark).orders, "plain"))
+        stored = store_by_customer(plain, tables=["orders"])
+        cores = spark.sparkContext.defaultParallelism
+        assert bucket_number([plain.orders]) == cores
+        months = plain.orders.select(F.date_format("order_date", "yyyy-MM")).distinct().count()
+        assert stored.usual.orders.select(F.col("_metadata.file_path")).distinct().count() <= cores * months
+        assert rows(stored.usual.orders.unionByName(stored.apart.orders)) == rows(plain.orders)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
