@@ -56,7 +56,8 @@ def label_encode(feat: DataFrame, columns: tuple[str, ...] = CATEGORICAL_FEATURE
     codes, encoded = label_codes(feat, present), feat
     for c in present:
         own = codes.filter(F.col("column_name") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))
-        joined = join_dimension(encoded.withColumn(c, _label(c)), own, c, spread_by=["customer_id"])
+        counted = feat.select(_label(c).alias(c))
+        joined = join_dimension(encoded.withColumn(c, _label(c)), own, c, spread_by=["customer_id"], count_in=counted)
         encoded = joined.withColumn(c, F.col("_code")).drop("_code")
     return encoded.select(*feat.columns)
 
