@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retain.llm.common import attach, materialize
+from retain.llm.common import attach, materialize, small_batches
 from retain.llm.words import SPACED, Words, mixed, seeds, text_bytes, word_runs
 
 SHINGLE, PERCENT = 5, 80  # words of a shingle, least similarity
@@ -45,6 +45,7 @@ SLACK = 5.0  # standard errors below the threshold at which an estimate is ruled
 PIVOT_ROUNDS = 3
 BLOCK_ROWS, BLOCK_WORDS = 512, 200_000  # of a bucket's members that a task holds of either side
 COLUMNS = 4096
+RUN_BYTES = 512 << 10  # of texts that a worker sketches at once
 
 _MULTIPLY = seeds(REGISTERS, 77) | np.uint64(1)
 SKETCH = "digest binary, n bigint, registers binary"
@@ -140,18 +141,15 @@ def sketch(text: Column, size: int) -> Column:
 
     def make(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            digests, sizes, packed = [], [], []
-            for words in word_runs(texts, SPACED):
+            for words in word_runs(texts, SPACED, RUN_BYTES):
                 elements, offsets = shingle_sets(words, size)
                 n = np.diff(offsets)
                 rows = iter(registers(elements, offsets))
-                sizes += n.tolist()
-                packed += [next(rows).astype(">u2").tobytes() if k else None for k in n]
-                digests += digests_of(words)
-            yield pa.StructArray.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
-                ["digest", "n", "registers"],
-            )
+                packed = [next(rows).astype(">u2").tobytes() if k else None for k in n]
+                yield pa.StructArray.from_arrays(
+                    [pa.array(digests_of(words), pa.binary()), pa.array(n, pa.int64()), pa.array(packed, pa.binary())],
+                    ["digest", "n", "registers"],
+                )
 
     return F.arrow_udf(make, SKETCH)(text)
 
@@ -297,7 +295,8 @@ class Finder:
         self.percent, self.size = percent, size
         held = [F.struct(*others).alias("others")] if others else []
         made = docs.select("doc_id", "text", sketch(F.col("text"), size).alias("s"), F.monotonically_increasing_id().alias("row"), *held)
-        self.rows = materialize(made.select("row", "doc_id", "text", "s.digest", "s.n", "s.registers", *["others"] * len(held)), "sketches")
+        with small_batches(docs.sparkSession):
+            self.rows = materialize(made.select("row", "doc_id", "text", "s.digest", "s.n", "s.registers", *["others"] * len(held)), "sketches")
         # A class is called by one of its rows, whose text stands for it.
         grouped = self.rows.groupBy("digest").agg(
             F.min("row").alias("cls"), F.min("doc_id").alias("first_id"), F.max("n").alias("n"),
@@ -327,7 +326,8 @@ class Finder:
         )
         for side in "ab":
             close = close.join(self.texts.select(F.col("cls").alias(side), F.col("text").alias(f"text_{side}")), side)
-        return materialize(close.filter(similar(self.percent, self.size)("text_a", "text_b")).select("a", "b"), f"{label}-links")
+        with small_batches(close.sparkSession):
+            return materialize(close.filter(similar(self.percent, self.size)("text_a", "text_b")).select("a", "b"), f"{label}-links")
 
     def components(self) -> DataFrame:
         """(cls, comp) of all classes that share a bucket.

@@ -11,6 +11,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 RUN_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -144,7 +145,13 @@ class Words:
         return LOWER[self.data[self.starts[i] : self.ends[i]]].tobytes()
 
 
-def word_runs(column: pa.Array, kind: np.ndarray) -> Iterator[Words]:
-    data, offsets = text_bytes(column)
-    for a, b in runs(offsets):
-        yield Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], kind)
+def pieces(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[pa.Array]:
+    """Slices of about `limit` bytes, one text at least; nothing is copied."""
+    at = np.asarray(pc.fill_null(pc.cumulative_sum(pc.cast(pc.binary_length(column), pa.int64()), skip_nulls=True), 0))
+    for a, b in runs(np.concatenate([[0], np.maximum.accumulate(at)]).astype(np.int64), limit):
+        yield column.slice(a, b - a)
+
+
+def word_runs(column: pa.Array, kind: np.ndarray, limit: int = RUN_BYTES) -> Iterator[Words]:
+    for piece in pieces(column, limit):
+        yield Words(*text_bytes(piece), kind)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from retain.llm import neardup
 from retain.llm.common import read
-from retain.llm.words import SPACED, word_runs
+from retain.llm.words import SPACED, pieces, word_runs
 
 
 def shingles(text, size=3):
@@ -170,3 +170,35 @@ def test_equal_hashes_of_different_words_link_nothing(monkeypatch):
     block = pa.table({"few": [True, True, False, False], "cls": [1, 2, 3, 4], "comp": [1, 2, 3, 4], "text": texts})
     links = neardup.linked_rows(85, 3)(block).to_pylist()
     assert links == [{"a": 1, "b": 3}]
+
+
+def test_pieces_cover_all_rows_in_bounded_runs():
+    texts = ["x" * 300, None, "", "y" * 5000, "é" * 400, None] * 20
+    for column in (pa.array(texts), pa.array(["z", *texts]).slice(1), pa.array([], pa.string())):
+        cut = list(pieces(column, 1000))
+        assert [t for piece in cut for t in piece.to_pylist()] == column.to_pylist()
+        assert all(len(piece) == 1 or sum(len((t or "").encode()) for t in piece.to_pylist()) <= 1000 for piece in cut)
+
+
+def test_a_worker_holds_few_texts_at_once(frame, monkeypatch):
+    """Of 12 MB in one partition no batch is much over 4 MB, and a sketch returns run by run."""
+
+    def measured(text, size):
+        def make(batches):
+            for texts in batches:
+                assert texts.nbytes < 6 << 20, f"{texts.nbytes} bytes in a batch"
+                yield pa.StructArray.from_arrays(
+                    [pa.array([b"x"] * len(texts)), pa.array([0] * len(texts)), pa.nulls(len(texts), pa.binary())], ["digest", "n", "registers"]
+                )
+
+        make.__annotations__ = {"batches": neardup.Iterator[pa.Array], "return": neardup.Iterator[pa.Array]}
+        return F.arrow_udf(make, neardup.SKETCH)(text)
+
+    docs = frame([(i, str(i)) for i in range(40)]).coalesce(1).withColumn("text", F.repeat(F.lit("ab "), 100_000))
+    with monkeypatch.context() as patch:
+        patch.setattr(neardup, "sketch", measured)
+        assert neardup.Finder(docs, 80, 5).rows.count() == 40
+    held = []
+    monkeypatch.setattr(neardup.F, "arrow_udf", lambda make, kind: lambda text: held.extend(len(x) for x in make(iter([pa.array(["ab " * 10_000] * 100)]))))
+    neardup.sketch(None, 5)
+    assert sum(held) == 100 and max(held) < 20
